@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,7 +84,7 @@ def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:
 def chunks(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that each piece holds about `most` bytes of text (one very long text stands alone)."""
     for b in batches:
-        lengths = np.array(pa.compute.binary_length(b.column(text).cast(pa.large_string())).fill_null(0), np.int64)
+        lengths = np.array(pc.binary_length(b.column(text).cast(pa.large_string())).fill_null(0), np.int64)
         part = np.cumsum(lengths) // most
         cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(lengths)]
         for a, z in zip(cuts, cuts[1:], strict=False):

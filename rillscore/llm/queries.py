@@ -18,6 +18,25 @@ def _crc(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string").cast("binary"))
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rillscore.llm.toxicity import fit_toxicity, score_toxicity
+
+    docs = _read(spark, sf_dir, "documents")
+    held_out = _crc() % 4 == 2
+    model = fit_toxicity(docs, _read(spark, sf_dir, "labels"), ~held_out)
+    out = score_toxicity(docs, model, threshold=0.3)
+    return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rillscore.llm.langid import fit_language_id, identify_language
+
+    docs = _read(spark, sf_dir, "documents")
+    held_out = _crc() % 5 == 0
+    out = identify_language(docs, fit_language_id(docs, ~held_out))
+    return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
