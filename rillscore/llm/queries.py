@@ -28,6 +28,21 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rillscore.llm.mixing import mix_sources
+
+    return mix_sources(_read(spark, sf_dir, "documents"))
+
+
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rillscore.llm.chat import digests, format_chats
+
+    text = "</s>[INST] ok [/INST]"
+    turns = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.sql(f"SELECT -7L AS conv_id, t.* FROM VALUES (0L, 'user', '{text}'), (1L, 'assistant', '{text}') AS t(turn, role, text)")
+    return digests(format_chats(turns.unionByName(more)))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rillscore.llm.langid import fit_language_id, identify_language
 
@@ -51,9 +66,17 @@ def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_read(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rillscore.llm.urls import filter_urls
+
+    return filter_urls(_read(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from rillscore.llm import chat, mixing, urls
+
+    return {"op2_mix_sources": mixing.ORACLE, "op5_chat_format": chat.oracle(), "op10_url_filters": urls.oracle()}
