@@ -34,6 +34,12 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_read(spark, sf_dir, "documents"))
 
 
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rillscore.llm.search import search
+
+    return search(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rillscore.llm.chat import digests, format_chats
 
@@ -60,6 +66,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rillscore.llm.warc import round_trip
+
+    return round_trip(_read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rillscore.llm.neardup import near_duplicates
 
@@ -77,6 +89,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from rillscore.llm import chat, mixing, urls
+    from rillscore.llm import chat, mixing, urls, warc
 
-    return {"op2_mix_sources": mixing.ORACLE, "op5_chat_format": chat.oracle(), "op10_url_filters": urls.oracle()}
+    return {"op2_mix_sources": mixing.ORACLE, "op5_chat_format": chat.oracle(), "op8_warc": warc.ORACLE, "op10_url_filters": urls.oracle()}
