@@ -1,3 +1,80 @@
-"""The corpus pipeline (stages follow)."""
+"""The corpus pipeline: documents in, a mixed corpus out, one operator a stage, each stage's result written and read again.
 
-STAGES = []
+Every function takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents.
+Null ids, texts, languages and sources are handled as each operator defines.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rillscore.llm.common import scratch_path, table
+from rillscore.llm.decontaminate import decontaminate
+from rillscore.llm.langid import fit_language_id, identify_language
+from rillscore.llm.mixing import mix_sources
+from rillscore.llm.neardup import near_duplicates
+from rillscore.llm.toxicity import fit_toxicity, score_toxicity
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Below this score a prediction is no better than a guess between two families and two languages.
+LEAST_LANGUAGE_SCORE = 0.3
+TOXIC = 0.3
+#: SQL cannot express trained classifiers, fingerprints or this join; the stages are tested against brute force instead.
+ORACLE_SQL = None
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects texts without a letter and texts whose language cannot be told."""
+    out = identify_language(docs, fit_language_id(docs, F.lit(True)), carry=COLUMNS)
+    return out.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE_SCORE)).select(*COLUMNS)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents that score as toxic, labelled or not."""
+    model = fit_toxicity(docs, _read(spark, sf_dir, "labels"), F.lit(True))
+    return score_toxicity(docs, model, threshold=TOXIC, carry=COLUMNS).where("predicted = 0").select(*COLUMNS)
+
+
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates (five-word shingles, 0.8) the document with the smallest id stays, once.
+
+    The ids that go are written first, so that Spark knows their size when it decides how to join them. Rows that repeat
+    an id leave the smallest row; rows without an id stay.
+    """
+    groups = table(near_duplicates(docs, k=5, num=80, den=100).select("doc_id", "component_id"), "groups")
+    gone = table(groups.where("component_id <> doc_id").select("doc_id").distinct(), "gone")
+    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
+    repeated = table(groups.where("component_id = doc_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if repeated.limit(1).count():
+        rest = [c for c in COLUMNS if c != "doc_id"]
+        once = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("r")).select("doc_id", *[F.col(f"r.{c}").alias(c) for c in rest])
+        kept = kept.join(repeated, "doc_id", "left_anti").unionByName(once)
+    return kept.select(*COLUMNS)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents that hold a benchmark item."""
+    return decontaminate(docs.select(*COLUMNS), _read(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How often each document is taken to bring the sources to their target weights."""
+    return mix_sources(docs)
+
+
+STAGES = [("language", language), ("toxicity", toxicity), ("near_duplicate", near_duplicate), ("benchmark", benchmark), ("mix", mix)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Apply the stages to documents; each result is written to the shared folder and read back."""
+    docs = _read(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = scratch_path(spark, f"stage-{name}")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _own: dict[str, str] = {}
 
@@ -46,6 +47,19 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+def per_text(df: DataFrame, text_col: str, carry: list[str], fields: str, fn: Callable[[list[str | None]], list[pa.Array]]) -> DataFrame:
+    """The columns `carry` of df and new ones that fn makes of the texts, in one narrow pass; names in fields must be new."""
+    src = df.select(*carry) if text_col in carry else df.select(*carry, text_col)
+    at, n = src.columns.index(text_col), len(carry)
+    schema = StructType([*src.schema.fields[:n], *StructType.fromDDL(fields).fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in chunks(batches, text_col):
+            yield pa.RecordBatch.from_arrays([*b.columns[:n], *fn(b.column(at).to_pylist())], schema.names)
+
+    return src.mapInArrow(run, schema)
+
+
 class WordHashes(dict):
     """64-bit hashes of words, kept while there are at most `most` of them."""
 

@@ -7,7 +7,6 @@ driver from a bounded sample of labelled rows (`sample` rows, the smallest by a
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillscore.llm.common import per_text
+
 DIM = 4096
 #: Families of common language codes; a language that is not listed is a family of its own.
 FAMILIES = {
@@ -131,17 +132,15 @@ def fit_language_id(df: DataFrame, learn: Column, sample: int = 3000, id_col: st
     return Hierarchy.fit([r.text for r in rows], [r.lang for r in rows])
 
 
-def identify_language(df: DataFrame, model: Hierarchy, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, lang_pred, score. Null texts and texts without letters (empty ones too) are `und` with score 0.
+def identify_language(df: DataFrame, model: Hierarchy, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """Per row: id (or the columns to carry), lang_pred, score. Null texts and texts without letters (empty ones too) are `und` with score 0.
 
     Narrow: one pass over whole texts, the model (a few planes of 4,096 weights) travels with the task. Every row gets a
     result, repeated rows each. Very long texts are counted in pieces.
     """
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            got = [model.predict(t) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], ["id", "lang_pred", "score"])
+    def predict(texts: list[str | None]) -> list[pa.Array]:
+        got = [model.predict(t) for t in texts]
+        return [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
 
-    src = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return src.mapInArrow(predict, f"id {src.schema['id'].dataType.simpleString()}, lang_pred string, score double").withColumnRenamed("id", id_col)
+    return per_text(df, text_col, carry or [id_col], "lang_pred string, score double", predict)

@@ -34,6 +34,12 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_read(spark, sf_dir, "documents"))
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from rillscore.llm.decontaminate import find_benchmark
+
+    return find_benchmark(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), k=5, least=0.8)
+
+
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from rillscore.llm.search import search
 
@@ -84,8 +90,14 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_read(spark, sf_dir, "pages"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: f for k, f in globals().items() if k.startswith("op") and callable(f)}
+    return {k: f for k, f in globals().items() if (k.startswith("op") or k == "pipeline") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -8,12 +8,14 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rillscore.llm.common import per_text
+
 SPACE = "▁"  # what a blank becomes
 
 
@@ -117,12 +119,7 @@ def count_tokens(df: DataFrame, model_path: str, limit: int = 4096, id_col: str
     """
     merges = Merges.of_sentencepiece(model_path)
 
-    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b.column(1).to_pylist()
-            n = [merges.count(t) for t in texts]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(t.encode("utf-8", "surrogatepass")) if t else 0 for t in texts], pa.int64()), pa.array(n, pa.int64())], ["id", "n_bytes", "n_tokens"])
+    def counts(texts: list[str | None]) -> list[pa.Array]:
+        return [pa.array([len(t.encode("utf-8", "surrogatepass")) if t else 0 for t in texts], pa.int64()), pa.array([merges.count(t) for t in texts], pa.int64())]
 
-    src = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = src.mapInArrow(counts, f"id {src.schema['id'].dataType.simpleString()}, n_bytes long, n_tokens long")
-    return out.select(F.col("id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    return per_text(df, text_col, [id_col], "n_bytes long, n_tokens long", counts).withColumn("over_limit", F.col("n_tokens") > limit)

@@ -9,7 +9,6 @@ toxic words; training picks that window in each round too.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -18,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillscore.llm.common import chunks
+from rillscore.llm.common import per_text
 
 BITS, WIDTH, WINDOW, RATE = 16, 6, 16, 0.5
 BUCKETS = 1 << BITS
@@ -175,17 +174,11 @@ def fit_toxicity(df: DataFrame, labels: DataFrame, learn: Column, sample: int =
     return SubwordSoftmax.fit([r._t for r in rows], [r._y for r in rows])
 
 
-def score_toxicity(df: DataFrame, model: SubwordSoftmax, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, score (0 to 1), predicted (1 where score >= threshold).
+def score_toxicity(df: DataFrame, model: SubwordSoftmax, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """Per row: id (or the columns to carry), score (0 to 1), predicted (1 where score >= threshold).
 
     Null and empty texts get the score of a text without words. Every row gets a result, repeated rows each. Narrow: one
     pass over whole texts; the model (65,536 logits) travels with the task.
     """
-
-    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in chunks(batches, "text"):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(model.scores(b.column(1).to_pylist()), pa.float64())], ["id", "score"])
-
-    src = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = src.mapInArrow(scores, f"id {src.schema['id'].dataType.simpleString()}, score double")
-    return out.select(F.col("id").alias(id_col), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    out = per_text(df, text_col, carry or [id_col], "score double", lambda texts: [pa.array(model.scores(texts), pa.float64())])
+    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
