@@ -208,9 +208,9 @@ def read_archives(archives: DataFrame, payloads: bool = False) -> DataFrame:
     return archives.select("path").repartition("path").mapInArrow(read, schema)
 
 
-def round_trip(pages: DataFrame, **options) -> DataFrame:
+def round_trip(pages: DataFrame, payloads: bool = False, **options) -> DataFrame:
     """Write the pages to archives in the shared folder and read the archives back."""
-    return read_archives(write_archives(pages, scratch_path(pages.sparkSession, "warc"), **options))
+    return read_archives(write_archives(pages, scratch_path(pages.sparkSession, "warc"), **options), payloads)
 
 
 ORACLE = """
