@@ -27,11 +27,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from rillscore.llm.common import WordHashes, chunks, mix, shingle_hashes, table, words_of
 from rillscore.llm.components import connected_components
 
 U64 = np.uint64
+PARITY = 16
 
 
 def most_apart(size_sum: int, num: int, den: int) -> int:
@@ -85,15 +87,25 @@ def sets_of(texts: list[str | None], k: int, known: WordHashes) -> list[np.ndarr
     return out
 
 
-def identity(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each set: a 64-bit identity, the size, and 64 parities (two sets differ at least as much as their parities)."""
+def identity(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each set: a 64-bit identity, and the size."""
     n = np.array([len(s) for s in sets], np.int64)
     flat = np.concatenate(sets) if sets else np.zeros(0, U64)
-    at = np.repeat(np.arange(len(sets)), n)
-    total, parity = np.zeros(len(sets), U64), np.zeros(len(sets), U64)
-    np.add.at(total, at, mix(flat, 3))
-    np.bitwise_xor.at(parity, at, U64(1) << (mix(flat, 4) & U64(63)))
-    return mix(total ^ mix(n.astype(U64), 5), 6), n, parity
+    total = np.zeros(len(sets), U64)
+    np.add.at(total, np.repeat(np.arange(len(sets)), n), mix(flat, 3))
+    return mix(total ^ mix(n.astype(U64), 5), 6), n
+
+
+def parities(sets: list[np.ndarray]) -> np.ndarray:
+    """Of each set, 64 * PARITY bits: how many of its shingles fall on the bit, odd or even.
+
+    A shingle that only one of two sets has flips one bit, so two sets differ at least as much as these bits do.
+    """
+    out = np.zeros(len(sets) * PARITY, U64)
+    flat = mix(np.concatenate(sets), 4) if sets else np.zeros(0, U64)
+    at = np.repeat(np.arange(len(sets)) * PARITY, [len(s) for s in sets])
+    np.bitwise_xor.at(out, at + ((flat >> U64(6)) % U64(PARITY)).astype(np.int64), U64(1) << (flat & U64(63)))
+    return out.reshape(len(sets), PARITY)
 
 
 def keys_of(sets: list[np.ndarray], n: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
@@ -128,18 +140,18 @@ def _as_long(x: np.ndarray) -> pa.Array:
 
 
 def _sets_table(src: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """id, node (identity of the shingle set), n, parity, n_keys: one row per document."""
+    """id, node (identity of the shingle set), n, n_keys: one row per document."""
     _, segments, _, delete = band_plan(num, den)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for b in chunks(batches, "text"):
-            node, n, parity = identity(sets_of(b.column(1).to_pylist(), k, known))
+            node, n = identity(sets_of(b.column(1).to_pylist(), k, known))
             which, band = bands_of(n, num, den)
             cost = np.bincount(which, weights=segments[band] + np.where(delete[band], n[which], 0), minlength=len(n)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), _as_long(node), pa.array(n), _as_long(parity), pa.array(cost)], ["id", "node", "n", "parity", "n_keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), _as_long(node), pa.array(n), pa.array(cost)], ["id", "node", "n", "n_keys"])
 
-    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, node long, n long, parity long, n_keys long")
+    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, node long, n long, n_keys long")
 
 
 def _shared_keys(src: DataFrame, k: int, num: int, den: int, parts: int) -> DataFrame:
@@ -152,7 +164,7 @@ def _shared_keys(src: DataFrame, k: int, num: int, den: int, parts: int) -> Data
         known, seen = WordHashes(), set()
         for b in chunks(batches, "text"):
             sets = sets_of(b.column(1).to_pylist(), k, known)
-            node, n, _ = identity(sets)
+            node, n = identity(sets)
             if len(seen) > 1_000_000:
                 seen.clear()
             new = []
@@ -225,22 +237,30 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     keys = sets.agg(F.sum("n_keys")).first()[0] or 0
     parts = max(240, keys * 16 // part_bytes)
     shared = table(_shared_keys(src, k, num, den, parts), "shared")
-    classes = sets.where("n > 0").groupBy("node").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.max("parity").alias("parity"), F.count("*").alias("copies"))
+    classes = sets.where("n > 0").groupBy("node").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.count("*").alias("copies"))
     info = table(shared.groupBy("node").agg(F.count("*").alias("degree")).join(classes.where("rep IS NOT NULL"), "node"), "info")
 
+    bits = [f"p{i}" for i in range(PARITY)]
+
     def own_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for b in chunks(batches, "text"):
-            node = identity(sets_of(b.column("text").to_pylist(), k, known))[0]
-            yield b.filter(pc.equal(_as_long(node), b.column("node")))
+            sets = sets_of(b.column("text").to_pylist(), k, known)
+            node, _ = identity(sets)
+            out = pa.RecordBatch.from_arrays([*b.columns, *map(_as_long, np.ascontiguousarray(parities(sets).T))], [*b.schema.names, *bits])
+            yield out.filter(pc.equal(_as_long(node), b.column("node")))
 
     # The texts of nodes with candidates: of equal sets one text, so one id that occurs in very many rows stays one row.
-    found = src.join(info.select(F.col("rep").alias("id"), "node"), "id").select("id", "node", "text").mapInArrow(own_node, src.select("id").schema.add("node", "long").add("text", "string"))
-    texts = table(found.groupBy("id", "node").agg(F.first("text").alias("text")).select("node", "text"), "texts")
+    # The documents are shuffled once here, at every size alike.
+    found = src.join(info.select(F.col("rep").alias("id"), "node", "n"), "id").select("id", "node", "n", "text")
+    schema = StructType([*found.schema.fields, *[StructField(c, LongType()) for c in bits]])
+    texts = found.mapInArrow(own_node, schema).groupBy("id", "node").agg(*[F.first(c).alias(c) for c in ("text", "n", *bits)])
+    texts = table(texts.drop("id"), "texts")
 
     apart = F.expr(f"{den - num} * (n_x + n_y) div {den + num}")
-    possible = (F.least("n_x", "n_y") * den >= F.greatest("n_x", "n_y") * num) & (F.bit_count(F.col("parity_x").bitwiseXOR(F.col("parity_y"))) <= apart)
-    side = lambda c: info.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("parity").alias(f"parity_{c}"))
+    differ = sum((F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y"))) for c in bits[1:]), F.bit_count(F.col("p0_x").bitwiseXOR(F.col("p0_y"))))
+    possible = (F.least("n_x", "n_y") * den >= F.greatest("n_x", "n_y") * num) & (differ <= apart)
+    side = lambda c: texts.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), *[F.col(b).alias(f"{b}_{c}") for b in bits])
 
     def stars(members: DataFrame) -> DataFrame:
         """(x, y): each member of a key with the key's pivot, the node that shares most keys (an original more than its copies)."""
