@@ -252,7 +252,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
 
     # The texts of nodes with candidates: of equal sets one text, so one id that occurs in very many rows stays one row.
     # The documents are shuffled once here, at every size alike.
-    found = src.join(info.select(F.col("rep").alias("id"), "node", "n"), "id").select("id", "node", "n", "text")
+    found = src.join(info.select(F.col("rep").alias("id"), "node", "n").hint("merge"), "id").select("id", "node", "n", "text")
     schema = StructType([*found.schema.fields, *[StructField(c, LongType()) for c in bits]])
     texts = found.mapInArrow(own_node, schema).groupBy("id", "node").agg(*[F.first(c).alias(c) for c in ("text", "n", *bits)])
     texts = table(texts.drop("id"), "texts")
