@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import base64
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from rillscore.functions.scalar import csv_line
 from rillscore.operators.batching import sampled_rows
-from rillscore.operators.project import Contract, Output, check_keep_cols
+from rillscore.operators.project import Contract, Output, check_keep_cols, parse_names
 from rillscore.operators.rowid import with_row_id
-from rillscore.operators.scorers import HttpScorer, endpoint, preflight
+from rillscore.operators.scorers import HttpScorer, acquire_token, endpoint, preflight
 from rillscore.operators.sink import write_csv
 from rillscore.plans.config import ScoreConfig, configure
 from rillscore.plans.run import dry_run, run
@@ -25,6 +25,11 @@ def numbered(source: DelimitedSource) -> DataFrame:
     return with_row_id(rows, "_at").drop("_at")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def score_file(spark: SparkSession, cfg: ScoreConfig, contract: Contract, folder: str) -> int | None:
     source = DelimitedSource(spark, cfg.dataset, cfg.delimiter, cfg.encoding, cfg.skip_dialect, cfg.fast)
     check_keep_cols(cfg.keep(), source.header)
@@ -36,12 +41,14 @@ def score_file(spark: SparkSession, cfg: ScoreConfig, contract: Contract, folder
     if cfg.dry_run:
         dry_run(df, rows).show()
         return None
+    if cfg.no and _exists(spark, cfg.out):
+        return None
     headers = {"User-Agent": "rillscore"}
     if cfg.service_key:
         headers[cfg.key_header] = cfg.service_key
+    if cfg.api_token is None and cfg.user and cfg.password:
+        cfg.api_token = acquire_token(cfg.host or "", cfg.user, cfg.password, cfg.create_api_token, cfg.api_version, cfg.timeout)
     if cfg.api_token:
-        import base64
-
         headers["Authorization"] = "Basic " + base64.b64encode(f"{cfg.user}:{cfg.api_token}".encode()).decode()
     url = endpoint(cfg.host or "", cfg.project_id, cfg.model_id, cfg.deployment_id, cfg.import_id, cfg.max_prediction_explanations, cfg.api_version)
     scorer = HttpScorer(contract, url, source.columns, headers, rows, cfg.n_concurrent, cfg.n_retry, cfg.timeout, cfg.compress, verify_ssl=cfg.verify_ssl, ca_bundle=cfg.ca_bundle, legacy=cfg.api_version == "api/v1")
@@ -59,7 +66,7 @@ def main(argv: list[str] | None = None, ids: tuple[str, ...] = ("project_id", "m
     except ValueError as e:
         print(e, file=sys.stderr)
         return 1
-    labels = tuple(os.environ.get("SCORER_LABELS", "0,1").split(","))
+    labels = parse_names(cfg.labels)
     spark = SparkSession.builder.appName("rillscore").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     return score_file(spark, cfg, Contract(labels, has_threshold=bool(cfg.pred_threshold), has_explanations=bool(cfg.max_prediction_explanations)), f"{cfg.out}.run")
 

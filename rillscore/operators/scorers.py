@@ -6,6 +6,7 @@ explanations where the contract has them.
 
 from __future__ import annotations
 
+import base64
 import csv
 import gzip
 import io
@@ -201,6 +202,20 @@ def endpoint(host: str, project_id: str | None = None, model_id: str | None = No
     return f"{at}/{'predictions' if deployment_id else 'predict'}"
 
 
+def acquire_token(host: str, user: str, password: str, create: bool = False, api: str = "predApi/v1.0", timeout: float | None = None) -> str:
+    """The user's API token from the service; it is neither printed nor logged. create asks for a new one."""
+    auth = base64.b64encode(f"{user}:{password}".encode()).decode()
+    request = urllib.request.Request(f"{host.rstrip('/')}/{api}/api_token", method="POST" if create else "GET", headers={"Authorization": f"Basic {auth}"})
+    try:
+        with urllib.request.urlopen(request, timeout=timeout) as r:
+            token = json.loads(r.read()).get("api_token")
+    except urllib.error.HTTPError as e:
+        raise ValueError("wrong user or password" if e.code == 401 else f"no token: status {e.code}") from None
+    if not token:
+        raise ValueError("the user has no API token; ask for one to be created")
+    return token
+
+
 def preflight(scorer: HttpScorer, first_row: list) -> None:
     """Post one row before any job runs; raises with a clear text where the service will not answer."""
     got = scorer.post(scorer.payload([first_row]))

@@ -57,6 +57,7 @@ class ScoreConfig:
     dry_run: bool = False
     stdout: bool = False
     verbose: bool = False
+    labels: str = "0,1"
 
     def normalized(self) -> ScoreConfig:
         """Checked and with delimiters resolved; raises ValueError with the reason."""

@@ -11,10 +11,11 @@ import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
+from rillscore.cli import score_file
 from rillscore.operators import batching, journal, response
 from rillscore.operators.project import Contract, Output, check_keep_cols, parse_names, project, project_legacy
 from rillscore.operators.rowid import with_row_id
-from rillscore.operators.scorers import ArrowScorer, ExpressionScorer, HttpScorer, endpoint, preflight
+from rillscore.operators.scorers import ArrowScorer, ExpressionScorer, HttpScorer, acquire_token, endpoint, preflight
 from rillscore.operators.sink import write_csv
 from rillscore.plans.config import configure
 from rillscore.plans.run import dry_run, run, score_table
@@ -217,6 +218,14 @@ class Service(http.server.BaseHTTPRequestHandler):
         self.end_headers()
         self.wfile.write(text)
 
+    def do_GET(self):
+        good = self.headers["Authorization"] == "Basic dTpw"
+        text = json.dumps({"api_token": "t" if self.path.startswith("/predApi") else None}).encode()
+        self.send_response(200 if good else 401)
+        self.send_header("Content-Length", str(len(text)))
+        self.end_headers()
+        self.wfile.write(text)
+
     def log_message(self, *a):
         pass
 
@@ -277,6 +286,26 @@ def test_dry_run_and_preflight(spark, service):
         scorer(service, retries=0)
 
 
+def test_tokens(service):
+    host = service.rsplit("/", 1)[0]
+    assert acquire_token(host, "u", "p") == "t"
+    with pytest.raises(ValueError, match="wrong user"):
+        acquire_token(host, "u", "q")
+    with pytest.raises(ValueError, match="no API token"):
+        acquire_token(host, "u", "p", api="api/v1")
+
+
+def test_command_line(spark, service, tmp_path):
+    (tmp_path / "in.csv").write_text("k,c\n" + "".join(f"{i},x\n" for i in range(25)))
+    host = service.rsplit("/", 1)[0]
+    argv = ["0" * 24, "f" * 24, str(tmp_path / "in.csv"), "--host", host, "--n_samples", "10", "--keep_cols", "c", "--pred_name", "p", "--skip_dialect", "--labels", "z", "--out", str(tmp_path / "out.csv"), "--no-resume"]
+    assert score_file(spark, configure(argv, folders=[tmp_path]), Contract(("z",)), str(tmp_path / "run")) is None
+    text = next((tmp_path / "out.csv").glob("part-*")).read_text().splitlines()
+    assert text[0] == "row_id,c,p" and text[1:] == [f"{i},x,{2.0 * i}" for i in range(25)]
+    assert score_file(spark, configure([*argv, "--dry_run"], folders=[tmp_path]), Contract(("z",)), str(tmp_path / "run")) is None
+    assert score_file(spark, configure([*argv, "--no"], folders=[tmp_path]), Contract(("z",)), str(tmp_path / "run")) is None
+
+
 def test_endpoints():
     assert endpoint("http://h/", "p", "m") == "http://h/predApi/v1.0/p/m/predict"
     assert endpoint("http://h", deployment_id="d") == "http://h/predApi/v1.0/deployments/d/predictions"
