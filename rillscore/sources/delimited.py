@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from rillscore.functions.scalar import split_line
 from rillscore.sources.dialect import FAST_SAMPLE_BYTES, FIELD_LIMIT, SAMPLE_BYTES, Dialect, encoding_of, sniff
 
-JAVA_NAMES = {"utf-8-sig": "UTF-8", "utf_8": "UTF-8", "utf-16": "UTF-16", "latin-1": "ISO-8859-1", "latin1": "ISO-8859-1", "ascii": "US-ASCII", "cp1252": "windows-1252"}
+SPARK_CHARSETS = {"US-ASCII", "ISO-8859-1", "UTF-8", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32"}
+JAVA_NAMES = {"utf-8": "UTF-8", "utf-8-sig": "UTF-8", "utf_8": "UTF-8", "utf-16": "UTF-16", "latin-1": "ISO-8859-1", "latin1": "ISO-8859-1", "ascii": "US-ASCII", "cp1252": "windows-1252", "cp1250": "windows-1250", "cp1251": "windows-1251"}
 
 
 def sample_bytes(spark: SparkSession, path: str, n: int) -> bytes:
@@ -58,6 +59,8 @@ class DelimitedSource:
         self.columns = column_names(self.header)
         if next((r for r in rows if r), None) is None:
             raise ValueError(f"Input file '{path}' is empty.")
+        if self.charset().upper() not in SPARK_CHARSETS:
+            spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # else Spark's readers refuse it
         if fast:
             check_single_lines(self.sample, self.dialect)
 
@@ -79,7 +82,11 @@ class DelimitedSource:
         return df.select(*[F.coalesce(c, F.lit("")).alias(c) for c in self.columns])
 
     def _fast(self) -> DataFrame:
-        text = self.spark.read.option("encoding", self.charset()).text(self.path)
+        text = self.spark.read.text(self.path)
+        if self.charset() != "UTF-8":  # the line reader hands over bytes as they are
+            if self.charset().startswith("UTF-"):
+                raise ValueError(f"fast mode cannot split {self.encoding} into lines")
+            text = text.select(F.decode(F.col("value").cast("binary"), self.charset()).alias("value"))
         cells = split_line(F.col("value"), self.dialect.delimiter)
         head = self.sample.splitlines()[0]
         rows = text.where(F.col("value") != head).select(cells.alias("c"), "value")

@@ -69,6 +69,13 @@ def test_fast_scan_keeps_empty_last_cells(spark, tmp_path):
     assert rows(got) == [("1", "2", "", 3), ("3", "4", "5", 3)]
 
 
+@pytest.mark.parametrize("fast", [False, True])
+def test_declared_encoding(spark, tmp_path, fast):
+    (tmp_path / "in.csv").write_bytes("k,v\n1,café\n2,naïve\n".encode("cp1252"))
+    src = DelimitedSource(spark, str(tmp_path / "in.csv"), encoding="windows-1252", skip_dialect=True, fast=fast)
+    assert rows(src.scan().select("k", "v")) == [("1", "café"), ("2", "naïve")]
+
+
 def test_fast_mode_refuses_multiline(spark, tmp_path):
     (tmp_path / "in.csv").write_text('a,b\n1,"x\ny"\n')
     with pytest.raises(ValueError, match="several lines"):
