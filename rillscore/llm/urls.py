@@ -34,11 +34,9 @@ def _parts(df: DataFrame, url: str) -> DataFrame:
 def rule_of(rules: list[tuple[str, str, str]]) -> Column:
     """The longest rule that fits host and path as struct(rule, verdict), or null; of equally long ones an allow wins.
 
-    A rule fits its host and all subdomains if the path starts with the rule's path. The rules are a parameter of at most
-    1,000 entries and become one expression.
+    A rule fits its host and all subdomains if the path starts with the rule's path. The rules become one expression;
+    long lists are a table instead (see `judged`).
     """
-    if len(rules) > 1000:
-        raise ValueError("more than 1,000 rules: join them as a table instead")
     out = F.lit(None).cast("struct<rule:string,verdict:string>")
     for verdict, host, path in sorted(rules, key=lambda r: (len(r[1] + r[2]), r[0] == "allow")):
         fits = ((F.col("host") == host) | F.col("host").endswith(f".{host}")) & F.col("path").startswith(path)
@@ -46,6 +44,23 @@ def rule_of(rules: list[tuple[str, str, str]]) -> Column:
     return out
 
 
+def judged(df: DataFrame, rules: list[tuple[str, str, str]] | DataFrame) -> DataFrame:
+    """Adds r, the struct of rule_of, to df(host, path, ...).
+
+    rules is a list of (verdict, host, path), or a table with these columns for lists of any length: then the distinct
+    hosts and paths meet the rules on each suffix of the host, and the best rule comes back on host and path.
+    """
+    if isinstance(rules, list):
+        return df.withColumn("r", rule_of(rules))
+    labels = F.split("host", "\\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    pairs = df.select("host", "path").distinct().withColumn("on", F.explode(suffixes))
+    told = rules.select(F.col("verdict").alias("v"), F.col("host").alias("on"), F.col("path").alias("p"))
+    fits = pairs.join(told, "on").where(F.col("path").startswith(F.col("p"))).withColumn("rule", F.concat("on", "p"))
+    best = fits.groupBy("host", "path").agg(F.max_by(F.struct("rule", F.col("v").alias("verdict")), F.struct(F.length("rule"), F.col("v") == "allow")).alias("r"))
+    return df.join(best, ["host", "path"], "left")
+
+
 def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(a, b): url and canonical link or refresh target, without fragments; targets are absolute or start with a slash."""
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
@@ -60,7 +75,7 @@ def _node(url: Column) -> Column:
     return F.regexp_replace(url, "(?s)#.*$", "")
 
 
-def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, redirects: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | DataFrame = RULES, redirects: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per row: id, host, path, rule (host and path of the longest that fits, or null), verdict (allow or block).
 
     A rule's verdict holds for the url itself. Without a rule the aliases decide: allow if a rule allows any of them,
@@ -73,16 +88,16 @@ def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] = RULES, red
     if redirects is not None:
         edges = edges.unionByName(redirects.select(_node(F.col("a").cast("string")).alias("a"), _node(F.col("b").cast("string")).alias("b")))
     edges = table(edges.where("a <> b").distinct(), "alias-edges")
-    judged = _parts(pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("u")), "u").withColumn("r", rule_of(rules))
+    out = judged(_parts(pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("u")), "u"), rules)
     verdict = F.col("r.verdict")
     if edges.limit(1).count():
         members = connected_components(edges, "aliases")
-        ruled = _parts(members, "node").withColumn("r", rule_of(rules))
+        ruled = judged(_parts(members, "node"), rules)
         say = ruled.where("r IS NOT NULL").groupBy("label").agg(F.max(F.when(F.col("r.verdict") == "allow", 1)).alias("allowed"))
         alias = members.join(say, "label").select(F.col("node").alias("n"), F.when(F.col("allowed") == 1, "allow").otherwise("block").alias("alias_verdict"))
-        judged = judged.withColumn("n", _node(F.col("u"))).join(alias, "n", "left")
+        out = out.withColumn("n", _node(F.col("u"))).join(alias, "n", "left")
         verdict = F.coalesce(verdict, "alias_verdict")
-    return judged.select(F.col("id").alias(id_col), "host", "path", F.col("r.rule").alias("rule"), F.coalesce(verdict, F.lit("allow")).alias("verdict"))
+    return out.select(F.col("id").alias(id_col), "host", "path", F.col("r.rule").alias("rule"), F.coalesce(verdict, F.lit("allow")).alias("verdict"))
 
 
 def oracle(rules: list[tuple[str, str, str]] = RULES) -> str:

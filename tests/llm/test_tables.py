@@ -193,3 +193,5 @@ def test_url_rules_and_aliases(spark, tmp_path):
     more = urls.filter_urls(df, redirects=spark.createDataFrame([("http://notnet/x#y", "http://evil.net/p")], "a string, b string"))
     assert {r.page_id: r.verdict for r in more.collect()}[8] == "block"
     assert urls.filter_urls(df.limit(0)).count() == 0
+    table = spark.createDataFrame(urls.RULES, "verdict string, host string, path string")
+    assert sorted(map(str, urls.filter_urls(df, table).collect())) == sorted(map(str, got.collect()))
