@@ -9,7 +9,6 @@ distance is 10 bits of 64, its deviation 3, so the radius lies more than four de
 
 from __future__ import annotations
 
-import itertools
 import math
 import re
 from collections import Counter
@@ -18,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,83 +53,96 @@ def fingerprints(sums: np.ndarray) -> np.ndarray:
 
 
 @dataclass
-class ItemIndex:
-    """Items by length: ids, words, fingerprints (8 bytes each) and, per block value, the items within 2 bits of it."""
+class Group:
+    """Items of one length: fingerprints (8 bytes each), and which items lie within 2 bits of each value of each block."""
+
+    ids: list
+    bags: list[Counter]
+    shingles: np.ndarray  # sorted
+    prints: np.ndarray  # items x 8
+    near: np.ndarray  # BLOCKS x 256 x items, bool
+
 
+@dataclass
+class ItemIndex:
     k: int
     shingles: np.ndarray  # sorted hashes of all items' shingles
-    by_length: dict[int, tuple[list, list[list[str]], np.ndarray, list[list[np.ndarray]]]]
+    groups: dict[int, Group]
 
     @classmethod
     def build(cls, items: list[tuple], k: int) -> ItemIndex:
-        known, near = WordHashes(), [[] for _ in range(256)]
-        for v in range(256):
-            near[v] = [v ^ sum(1 << b for b in c) for n in range(RADIUS // BLOCKS + 1) for c in itertools.combinations(range(8), n)]
-        groups: dict[int, list] = {}
-        every = []
+        known, by_length = TokenHashes(), {}
+        values = np.arange(256, dtype=np.uint8)
+        within = np.bitwise_count(values[:, None] ^ values[None, :]) <= RADIUS // BLOCKS
         for item, text in items:
             if len(ws := tokens(text)) >= k:
-                groups.setdefault(len(ws), []).append((item, ws))
-        by_length = {}
-        for n, group in groups.items():
-            prints = []
-            for _, ws in group:
-                s, w = hashes(ws, k, known)
-                every.append(s)
-                prints.append(fingerprints(signed(s, w).sum(0)[None, :])[0])
-            prints = np.array(prints, np.uint8)
-            index = [[[] for _ in range(256)] for _ in range(BLOCKS)]
-            for i, p in enumerate(prints):
-                for b in range(BLOCKS):
-                    for v in near[p[b]]:
-                        index[b][v].append(i)
-            by_length[n] = ([g[0] for g in group], [g[1] for g in group], prints, [[np.array(x, np.int32) for x in row] for row in index])
-        return cls(k, np.unique(np.concatenate(every)) if every else np.zeros(0, np.uint64), by_length)
-
-    def found(self, text: str | None, known: WordHashes, least: float) -> list[tuple]:
+                by_length.setdefault(len(ws), []).append((item, ws))
+        groups = {}
+        for n, members in by_length.items():
+            each = [hashes(ws, k, known) for _, ws in members]
+            prints = np.stack([fingerprints(signed(s, weights(ws, k)).sum(0)[None, :])[0] for s, (_, ws) in zip(each, members, strict=True)])
+            groups[n] = Group([m[0] for m in members], [bag(ws, k) for _, ws in members], np.unique(np.concatenate(each)), prints, np.stack([within[:, prints[:, b]] for b in range(BLOCKS)]))
+        return cls(k, np.unique(np.concatenate([g.shingles for g in groups.values()])) if groups else np.zeros(0, np.uint64), groups)
+
+    def found(self, text: str | None, known: TokenHashes, least: float) -> list[tuple]:
         """(item, similarity, first word of the window) of the most similar window of each item that is at least so similar."""
         ws = tokens(text)
         if len(ws) < self.k or not len(self.shingles):
             return []
-        s, w = hashes(ws, self.k, known)
+        s = hashes(ws, self.k, known)
         at = np.minimum(np.searchsorted(self.shingles, s), len(self.shingles) - 1)
         hits = np.flatnonzero(self.shingles[at] == s)
         if not len(hits):
             return []  # a window without any shingle of an item has similarity 0 with all of them
-        out: dict = {}
-        for n, (ids, words, prints, index) in self.by_length.items():
+        w, out = weights(ws, self.k), {}
+        for n, g in self.groups.items():
             m = n - self.k + 1  # shingles of a window
             last = len(s) - m
-            if last < 0:
+            own = hits[np.isin(s[hits], g.shingles)]
+            if last < 0 or not len(own):
                 continue
-            # Starts of windows that hold a hit, in pieces of bounded size.
+            # Starts of windows that hold a shingle of the group's items, in pieces of bounded size.
             mark = np.zeros(last + 2, np.int32)
-            np.add.at(mark, np.clip(hits - m + 1, 0, last + 1), 1)
-            np.add.at(mark, np.minimum(hits, last) + 1, -1)
+            np.add.at(mark, np.clip(own - m + 1, 0, last + 1), 1)
+            np.add.at(mark, np.minimum(own, last) + 1, -1)
             starts = np.flatnonzero(np.cumsum(mark)[: last + 1] > 0)
-            for piece in np.split(starts, np.flatnonzero((np.diff(starts) > m) | (np.diff(starts // 8192) > 0)) + 1):
+            size = max(1, min(8192, (4 << 20) // len(g.ids)))
+            for piece in np.split(starts, np.flatnonzero((np.diff(starts) > m) | (np.diff(starts // size) > 0)) + 1):
                 if not len(piece):
                     continue
                 a, z = piece[0], piece[-1] + m
                 sums = np.concatenate([np.zeros((1, 64)), np.cumsum(signed(s[a:z], w[a:z]), axis=0)])
                 fp = fingerprints(sums[piece - a + m] - sums[piece - a])
-                for p, f in zip(piece.tolist(), fp, strict=True):
-                    cand = np.unique(np.concatenate([index[b][f[b]] for b in range(BLOCKS)]))
-                    if not len(cand):
-                        continue
-                    apart = np.bitwise_count(prints[cand] ^ f).sum(1)
-                    for i in cand[apart <= RADIUS].tolist():
-                        sim = similarity(bag(ws[p : p + n], self.k), bag(words[i], self.k))
-                        if sim >= least and sim > out.get(ids[i], (0.0,))[0]:
-                            out[ids[i]] = (sim, p)
+                candidate = g.near[0][fp[:, 0]]
+                for b in range(1, BLOCKS):
+                    candidate |= g.near[b][fp[:, b]]
+                win, item = np.nonzero(candidate)
+                inside = np.bitwise_count(fp[win] ^ g.prints[item]).sum(1) <= RADIUS
+                for p, i in zip(piece[win[inside]].tolist(), item[inside].tolist(), strict=True):
+                    sim = similarity(bag(ws[p : p + n], self.k), g.bags[i])
+                    if sim >= least and sim > out.get(g.ids[i], (0.0,))[0]:
+                        out[g.ids[i]] = (sim, p)
         return [(i, sim, p) for i, (sim, p) in out.items()]
 
 
-def hashes(ws: list[str], k: int, known: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the k-word shingles and their weights (characters)."""
-    h = np.fromiter((known[x.encode("utf-8", "surrogatepass")] for x in ws), np.uint64, len(ws))
+class TokenHashes(WordHashes):
+    """The same for words as strings."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= self.most:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        return h
+
+
+def hashes(ws: list[str], k: int, known: TokenHashes) -> np.ndarray:
+    return shingle_hashes(np.fromiter(map(known.__getitem__, ws), np.uint64, len(ws)), k)
+
+
+def weights(ws: list[str], k: int) -> np.ndarray:
+    """Characters of each k-word shingle."""
     c = np.concatenate([[0], np.cumsum([len(x) for x in ws])])
-    return shingle_hashes(h, k), (c[k:] - c[:-k]).astype(np.float64)
+    return (c[k:] - c[:-k]).astype(np.float64)
 
 
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, k: int = 5, least: float = 0.8, items_at_once: int = 20_000, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -161,7 +174,7 @@ def _indexes(items: DataFrame, k: int, at_once: int) -> Iterator:
 
 def _search(src: DataFrame, index, least: float, kinds: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
+        known = TokenHashes()
         for b in chunks(batches, "text"):
             at, rows = [], []
             for i, t in enumerate(b.column(1).to_pylist()):
@@ -181,7 +194,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = 5, least: floa
     for index in _indexes(items, k, items_at_once):
 
         def clean(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            known = WordHashes()
+            known = TokenHashes()
             for b in chunks(batches, text_col):
                 yield b.filter(pa.array([not index.value.found(t, known, least) for t in b.column(text_col).to_pylist()], pa.bool_()))
 
