@@ -27,13 +27,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from rillscore.llm.common import WordHashes, chunks, mix, shingle_hashes, table, words_of
 from rillscore.llm.components import connected_components
 
 U64 = np.uint64
-PARITY = 16
 
 
 def most_apart(size_sum: int, num: int, den: int) -> int:
@@ -96,16 +94,23 @@ def identity(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return mix(total ^ mix(n.astype(U64), 5), 6), n
 
 
-def parities(sets: list[np.ndarray]) -> np.ndarray:
-    """Of each set, 64 * PARITY bits: how many of its shingles fall on the bit, odd or even.
+def parities(sets: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Of each set, a bit for each residue of its shingles' hashes: whether an odd number of them falls on it; and the same folded in half.
 
-    A shingle that only one of two sets has flips one bit, so two sets differ at least as much as these bits do.
+    A shingle that only one of two sets has flips one bit, so two sets differ at least as much as these bits do. There are
+    at least 1,024 bits and as many as shingles, so that sets with little in common differ in more bits than a link allows;
+    sets whose numbers of bits differ are compared on the folded half.
     """
-    out = np.zeros(len(sets) * PARITY, U64)
+    n = np.array([len(s) for s in sets], np.int64)
+    words = 2 ** np.maximum(4, np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64) - 6)
+    ends = np.cumsum(words)
+    out = np.zeros(int(words.sum()), U64)
     flat = mix(np.concatenate(sets), 4) if sets else np.zeros(0, U64)
-    at = np.repeat(np.arange(len(sets)) * PARITY, [len(s) for s in sets])
-    np.bitwise_xor.at(out, at + ((flat >> U64(6)) % U64(PARITY)).astype(np.int64), U64(1) << (flat & U64(63)))
-    return out.reshape(len(sets), PARITY)
+    at = np.repeat(np.arange(len(sets)), n)
+    word = ((flat >> U64(6)) & (words[at] - 1).astype(U64)).astype(np.int64)
+    np.bitwise_xor.at(out, (ends - words)[at] + word, U64(1) << (flat & U64(63)))
+    whole = [out[z - m : z].view(np.int64) for m, z in zip(words.tolist(), ends.tolist(), strict=True)]
+    return whole, [w[: len(w) // 2] ^ w[len(w) // 2 :] for w in whole]
 
 
 def keys_of(sets: list[np.ndarray], n: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,18 +145,20 @@ def _as_long(x: np.ndarray) -> pa.Array:
 
 
 def _sets_table(src: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """id, node (identity of the shingle set), n, n_keys: one row per document."""
+    """id, node (identity of the shingle set), n, n_keys, and the parity bits: one row per document."""
     _, segments, _, delete = band_plan(num, den)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for b in chunks(batches, "text"):
-            node, n = identity(sets_of(b.column(1).to_pylist(), k, known))
+            sets = sets_of(b.column(1).to_pylist(), k, known)
+            node, n = identity(sets)
+            bits, half = (pa.array(x, pa.list_(pa.int64())) for x in parities(sets))
             which, band = bands_of(n, num, den)
             cost = np.bincount(which, weights=segments[band] + np.where(delete[band], n[which], 0), minlength=len(n)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), _as_long(node), pa.array(n), pa.array(cost)], ["id", "node", "n", "n_keys"])
+            yield pa.RecordBatch.from_arrays([b.column(0), _as_long(node), pa.array(n), pa.array(cost), bits, half], ["id", "node", "n", "n_keys", "bits", "half"])
 
-    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, node long, n long, n_keys long")
+    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, node long, n long, n_keys long, bits array<long>, half array<long>")
 
 
 def _shared_keys(src: DataFrame, k: int, num: int, den: int, parts: int) -> DataFrame:
@@ -232,43 +239,57 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     copies and gets their component, or null. An empty table gives an empty table. Equal sets are recognised by a 64-bit
     sum of their shingle hashes; candidates are compared on the shingles themselves.
     """
+    if not den <= 2 * num <= 2 * den:
+        raise ValueError("the similarity must lie between 0.5 and 1")
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     sets = table(_sets_table(src, k, num, den), "sets")
     keys = sets.agg(F.sum("n_keys")).first()[0] or 0
     parts = max(240, keys * 16 // part_bytes)
     shared = table(_shared_keys(src, k, num, den, parts), "shared")
-    classes = sets.where("n > 0").groupBy("node").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.count("*").alias("copies"))
+    classes = sets.where("n > 0").groupBy("node").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.first("bits").alias("bits"), F.first("half").alias("half"), F.count("*").alias("copies"))
     info = table(shared.groupBy("node").agg(F.count("*").alias("degree")).join(classes.where("rep IS NOT NULL"), "node"), "info")
 
-    bits = [f"p{i}" for i in range(PARITY)]
-
     def own_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for b in chunks(batches, "text"):
-            sets = sets_of(b.column("text").to_pylist(), k, known)
-            node, _ = identity(sets)
-            out = pa.RecordBatch.from_arrays([*b.columns, *map(_as_long, np.ascontiguousarray(parities(sets).T))], [*b.schema.names, *bits])
-            yield out.filter(pc.equal(_as_long(node), b.column("node")))
-
-    # The texts of nodes with candidates: of equal sets one text, so one id that occurs in very many rows stays one row.
-    # The documents are shuffled once here, at every size alike.
-    found = src.join(info.select(F.col("rep").alias("id"), "node", "n").hint("merge"), "id").select("id", "node", "n", "text")
-    schema = StructType([*found.schema.fields, *[StructField(c, LongType()) for c in bits]])
-    texts = found.mapInArrow(own_node, schema).groupBy("id", "node").agg(*[F.first(c).alias(c) for c in ("text", "n", *bits)])
-    texts = table(texts.drop("id"), "texts")
+            node, _ = identity(sets_of(b.column("text").to_pylist(), k, known))
+            yield b.filter(pc.equal(_as_long(node), b.column("node")))
+
+    def texts_of(need: DataFrame, name: str) -> DataFrame:
+        """(node, text) of some nodes: of equal sets one text, so one id that occurs in very many rows stays one row.
+
+        The documents are shuffled once here, at every size alike.
+        """
+        reps = info.join(need, "node", "left_semi").select(F.col("rep").alias("id"), "node")
+        found = src.join(reps.hint("merge"), "id").select("id", "node", "text")
+        return table(found.mapInArrow(own_node, found.schema).groupBy("id", "node").agg(F.first("text").alias("text")).drop("id"), name)
 
     apart = F.expr(f"{den - num} * (n_x + n_y) div {den + num}")
-    differ = sum((F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y"))) for c in bits[1:]), F.bit_count(F.col("p0_x").bitwiseXOR(F.col("p0_y"))))
+    short = lambda a, b: F.when(F.size(f"bits_{a}") <= F.size(f"bits_{b}"), F.col(f"bits_{a}")).otherwise(F.col(f"half_{a}"))
+    differ = F.aggregate(F.zip_with(short("x", "y"), short("y", "x"), lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda s, c: s + c)
     possible = (F.least("n_x", "n_y") * den >= F.greatest("n_x", "n_y") * num) & (differ <= apart)
-    side = lambda c: texts.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), *[F.col(b).alias(f"{b}_{c}") for b in bits])
+    side = lambda c: info.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"), F.col("half").alias(f"half_{c}"))
 
     def stars(members: DataFrame) -> DataFrame:
         """(x, y): each member of a key with the key's pivot, the node that shares most keys (an original more than its copies)."""
         pivots = members.join(info.select("node", "degree"), "node").groupBy("key").agg(F.max(F.struct("degree", "node")).alias("p"))
         return members.join(pivots, "key").select("key", F.col("node").alias("x"), F.col("p.node").alias("y"))
 
+    known_texts: list[DataFrame] = []
+
     def verify(pairs: DataFrame, name: str) -> DataFrame:
+        """(x, y, d, link) of the pairs that sizes and parity bits leave open, on their real shingles."""
         some = pairs.where("x <> y").select("x", "y").distinct().join(side("x"), "x").join(side("y"), "y").where(possible).select("x", "y")
+        some = table(some, f"{name}-pairs")
+        need = some.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+        for t in known_texts:
+            need = need.join(t, "node", "left_anti")
+        need = table(need, f"{name}-nodes")
+        if not known_texts or need.limit(1).count():
+            known_texts.append(texts_of(need, f"{name}-texts"))
+        texts = known_texts[0]
+        for t in known_texts[1:]:
+            texts = texts.unionByName(t)
         out = _verify(some, texts, k)
         return table(out.select("x", "y", (1 - F.col("common") / F.col("either")).alias("d"), (F.col("common") * den >= F.col("either") * num).alias("link")), name)
 
