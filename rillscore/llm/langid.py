@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillscore.llm.common import per_text
+from rillscore.llm.common import bounded_sample, per_text
 
 DIM = 4096
 #: Families of common language codes; a language that is not listed is a family of its own.
@@ -124,11 +124,9 @@ def fit_language_id(df: DataFrame, learn: Column, sample: int = 3000, id_col: st
     The rows are those with the smallest hashes of their id, so reruns agree. Without such rows every prediction is `und`.
     The whole texts come to the driver: 3,000 rows of any input size.
     """
-    rows = (
-        df.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike("\\p{L}"))
-        .select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col)).alias("h"))
-        .orderBy("h", "text").limit(sample).collect()
-    )
+    good = df.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike("\\p{L}"))
+    good = good.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    rows = sorted(bounded_sample(good, "id", sample, "text", "lang"), key=lambda r: (r._h, r.text))
     return Hierarchy.fit([r.text for r in rows], [r.lang for r in rows])
 
 

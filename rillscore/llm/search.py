@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillscore.llm.common import table
+from rillscore.llm.common import bounded_sample, table
 
 
 @dataclass
@@ -147,7 +147,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.
     if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     src = src.where(F.size("v") == sizes[0]["dim"])
-    picked = src.select("v", F.xxhash64("vec_id").alias("h")).orderBy("h").limit(sample).collect()
+    picked = bounded_sample(src, "vec_id", sample, "v")
     tree = KMeansTree.fit(np.array([r.v for r in picked], np.float64), branch, leaf_rows)
 
     def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,7 +160,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.
     queries = indexed.where("is_query")
 
     # Calibration: exact neighbours of some queries among all rows, a block at a time.
-    some = queries.select("vec_id", "v").orderBy(F.xxhash64("vec_id")).limit(calibrate).collect()
+    some = bounded_sample(queries, "vec_id", calibrate, "vec_id", "v")
     if not some:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     q, qid = np.array([r.v for r in some], np.float64), np.array([r.vec_id for r in some], np.int64)

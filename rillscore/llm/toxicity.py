@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillscore.llm.common import per_text
+from rillscore.llm.common import bounded_sample, per_text
 
 BITS, WIDTH, WINDOW, RATE = 16, 6, 16, 0.5
 BUCKETS = 1 << BITS
@@ -167,9 +167,9 @@ def fit_toxicity(df: DataFrame, labels: DataFrame, learn: Column, sample: int =
     """
     key = F.col(id_col)
     marks = labels.where(F.col(label_col).isNotNull() & learn).groupBy(key.alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_y"))
-    marks = marks.withColumn("_h", F.xxhash64("_id"))
-    parts = [marks.where(F.col("_y") == y).orderBy("_h", "_id").limit(sample) for y in (0, 1)]
-    picked = F.broadcast(parts[0].unionByName(parts[1]))  # at most 2 * sample rows, whatever the input
+    chosen = [(r._id, r._y, r._h) for y in (0, 1) for r in bounded_sample(marks.where(F.col("_y") == y), "_id", sample, "_id", "_y")]
+    ids = df.sparkSession.createDataFrame(chosen, marks.withColumn("_h", F.lit(0).cast("long")).schema)
+    picked = F.broadcast(ids)  # at most 2 * sample rows, whatever the input
     rows = df.select(key.alias("_id"), F.col(text_col).cast("string").alias("_t")).where("_t IS NOT NULL").join(picked, "_id").select("_t", "_y", "_h").dropDuplicates(["_h", "_t"]).orderBy("_h", "_t").limit(2 * sample).collect()
     return SubwordSoftmax.fit([r._t for r in rows], [r._y for r in rows])
 

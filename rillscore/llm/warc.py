@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillscore.llm.common import scratch_path, table
+from rillscore.llm.common import bounded_sample, scratch_path, table
 
 DICT_FRAME = 0x184D2A5D  # skippable frame that holds the dictionary
 DICT_MAGIC, ZSTD_MAGIC = b"\x37\xa4\x30\xec", b"\x28\xb5\x2f\xfd"
@@ -136,7 +136,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, most: int
     both = src.select("page_id", F.lit(1).alias("kind"), "sha", none.cast("long").alias("first"), "url", "html").unionByName(again.select("page_id", F.lit(0).alias("kind"), "sha", "first", none.cast("string").alias("url"), none.cast("binary").alias("html")))
     both = both.withColumn("key", F.coalesce("page_id", F.xxhash64("sha")))
     dealt = both.repartition("key").sortWithinPartitions("key", "page_id", "kind", "sha").select("page_id", "kind", "sha", "first", "url", "html")
-    sample = src.orderBy(F.xxhash64("page_id")).limit(dictionary_samples).select("html").collect()
+    sample = bounded_sample(src, "page_id", dictionary_samples, "html")
     dictionary = train_dictionary([bytes(r.html)[: 64 << 10] for r in sample if r.html])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
