@@ -1,7 +1,7 @@
 """Benchmark decontamination: SimHash fingerprints of item-sized windows, multi-index Hamming search, exact verification.
 
 Each benchmark item and each window of a document that is as long (in words) has a 64-bit SimHash over its weighted
-shingles. The fingerprints are cut into 8 blocks of 8 bits; two fingerprints within RADIUS = 23 agree up to 2 bits in one
+shingles; a document shorter than the item is its own and only window. The fingerprints are cut into 8 blocks of 8 bits; two fingerprints within RADIUS = 23 agree up to 2 bits in one
 of them, so a table of block values (each item under all values within 2 bits) gives every item within the radius. Those
 candidates are decided by the weighted Jaccard similarity of the real shingles. At a similarity of 0.8 the expected
 distance is 10 bits of 64, its deviation 3, so the radius lies more than four deviations out.
@@ -96,10 +96,11 @@ class ItemIndex:
             return []  # a window without any shingle of an item has similarity 0 with all of them
         w, out = weights(ws, self.k), {}
         for n, g in self.groups.items():
-            m = n - self.k + 1  # shingles of a window
+            width = min(n, len(ws))  # a text shorter than the item is its only window
+            m = width - self.k + 1  # shingles of a window
             last = len(s) - m
             own = hits[np.isin(s[hits], g.shingles)]
-            if last < 0 or not len(own):
+            if not len(own):
                 continue
             # Starts of windows that hold a shingle of the group's items, in pieces of bounded size.
             mark = np.zeros(last + 2, np.int32)
@@ -119,7 +120,7 @@ class ItemIndex:
                 win, item = np.nonzero(candidate)
                 inside = np.bitwise_count(fp[win] ^ g.prints[item]).sum(1) <= RADIUS
                 for p, i in zip(piece[win[inside]].tolist(), item[inside].tolist(), strict=True):
-                    sim = similarity(bag(ws[p : p + n], self.k), g.bags[i])
+                    sim = similarity(bag(ws[p : p + width], self.k), g.bags[i])
                     if sim >= least and sim > out.get(g.ids[i], (0.0,))[0]:
                         out[g.ids[i]] = (sim, p)
         return [(i, sim, p) for i, (sim, p) in out.items()]
@@ -149,6 +150,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, k: int = 5, least: flo
     """(id, item_id, similarity, first_word): documents with a window that is at least `least` similar to an item.
 
     Words are runs of letters, digits and underscores, lower-cased, so case, punctuation and white space do not matter. One row per input row and item, with the item's most similar window (the first of equals).
+    A window is as long as the item; a text of at least k words but fewer than the item is one window as a whole.
     Items of fewer than k words are too short to tell from chance and are not searched; null and empty texts hold and are
     nothing; repeated rows are answered each; empty tables give an empty table. The items go to the tasks in blocks of
     items_at_once (a pass over the documents each), so what is broadcast is bounded however many items there are. A task

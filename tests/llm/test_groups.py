@@ -139,6 +139,28 @@ def test_benchmark_windows_equal_brute_force(spark):
         assert left == {d for d, _ in texts} - {d for d, _, _ in want}
 
 
+def test_benchmark_in_documents_shorter_than_the_item(spark):
+    """Items that stand alone, cut at either end or inside, down to less than is similar enough."""
+    rng = random.Random(11)
+    items = [(i, [f"term{rng.randrange(500)}" for _ in range(n)]) for i, n in enumerate((15, 23, 40, 59))]
+    texts = [(w[c:], w[: len(w) - c], w[:7] + w[7 + c :]) for _, w in items for c in (0, 1, 2, 3, 5, 7, 12, len(w) - 6, len(w) - 3)]
+    texts = list(enumerate(" ".join(t) for three in texts for t in three))
+    want = set()
+    for d, t in texts:
+        ws = decontaminate.tokens(t)
+        for i, item in items:
+            n = min(len(item), len(ws))
+            sims = [decontaminate.similarity(decontaminate.bag(ws[p : p + n], 5), decontaminate.bag(item, 5)) for p in range(len(ws) - n + 1)] if n >= 5 else []
+            if sims and max(sims) >= 0.8:
+                want.add((d, i, round(max(sims), 9)))
+    assert 20 < len(want) < len(texts) - 20 and sum(s < 1 for *_, s in want) > 10
+    df, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame([(i, " ".join(t)) for i, t in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, round(r.similarity, 9)) for r in decontaminate.find_benchmark(df, bench).collect()}
+    assert got == want
+    left = {r.doc_id for r in decontaminate.decontaminate(df, bench).collect()}
+    assert left == {d for d, _ in texts} - {d for d, _, _ in want}
+
+
 def test_benchmark_awkward_rows(spark, docs):
     text = docs.where("doc_id = 1").first().text
     bench = spark.createDataFrame([(1, text), (2, None), (3, ""), (4, "short"), (None, text)], "item_id long, text string")
