@@ -6,6 +6,9 @@ A block decision of one alias holds for all of them, unless a rule allows one of
 
 from __future__ import annotations
 
+import html
+import html.entities
+import json
 import string
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +23,11 @@ LINK = "(?is)<link\\b[^>]*\\brel\\s*=\\s*[\"']?canonical\\b[^>]*>"
 HREF = "(?is)\\bhref\\s*=\\s*[\"']?([^\"'\\s>]+)"
 REFRESH = "(?is)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*[\"']?refresh\\b[^>]*>"
 TO = "(?is)\\burl\\s*=\\s*[\"']?([^\"'\\s>]+)"
+BASE = "(?is)<base\\b[^>]*\\bhref\\b[^>]*>"
+#: A character reference of an attribute: a name without its semicolon counts only if neither `=` nor a letter or digit follows.
+REFERENCE = "^&(#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*(?:;|(?![=A-Za-z0-9])))"
+#: Names (those with a semicolon have it) and the numbers that stand for another character than their own.
+CHARACTERS = {**html.entities.html5, **{f"#{n}": html.unescape(f"&#{n};") for n in (0, 13, *range(128, 160))}}
 
 
 def _parts(df: DataFrame, url: str) -> DataFrame:
@@ -61,14 +69,69 @@ def judged(df: DataFrame, rules: list[tuple[str, str, str]] | DataFrame) -> Data
     return df.join(best, ["host", "path"], "left")
 
 
+def decoded(text: Column) -> Column:
+    """An attribute's value with its character references decoded as HTML does it; unknown names stay."""
+    known = F.from_json(F.lit(json.dumps(CHARACTERS)), "map<string,string>")
+
+    def one(piece: Column) -> Column:
+        ref = F.regexp_extract(piece, REFERENCE, 1)
+        hexadecimal = F.regexp_extract(ref, "^#[xX]0*([0-9a-fA-F]*)", 1)
+        decimal = F.regexp_extract(ref, "^#0*([0-9]*)", 1)
+        of_hex = F.when(F.length(hexadecimal) > 6, 0x110000).otherwise(F.conv(F.concat(F.lit("0"), hexadecimal), 16, 10).cast("int"))
+        of_decimal = F.when(F.length(decimal) > 7, 0x110000).otherwise(F.concat(F.lit("0"), F.substr(decimal, F.lit(1), F.lit(7))).cast("int"))
+        point = F.when(ref.rlike("^#[xX]"), of_hex).otherwise(of_decimal)
+        point = F.when((point > 0x10FFFF) | point.between(0xD800, 0xDFFF), 0xFFFD).otherwise(point)
+        number = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+        key = F.when(ref.startswith("#"), F.concat(F.lit("#"), point.cast("string"))).otherwise(ref)
+        char = F.coalesce(known[key], F.when(ref.startswith("#"), number))
+        return F.when(ref == "", piece).otherwise(F.coalesce(F.concat(char, F.substr(piece, F.length(ref) + 2)), piece))
+
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(F.split(text, "(?=&)"), one), "")).otherwise(text)
+
+
+def resolved(url: Column, to: Column) -> Column:
+    """The target of a reference in the page url (RFC 3986); null for a relative one where url has no `://`.
+
+    Targets with a scheme or a host stay as they are; the paths of others lose their `.` and `..` segments.
+    """
+    url = _node(url)
+    origin = F.regexp_extract(url, "^[^/?#]*://[^/?#]*", 0)
+    path = F.regexp_extract(url, "^[^/?#]*://[^/?#]*([^?#]*)", 1)
+    own, rest = F.regexp_extract(to, "^[^?#]*", 0), F.regexp_extract(to, "(?s)^[^?#]*(.*)$", 1)
+    folder = F.when(path == "", "/").otherwise(F.regexp_extract(path, "(?s)^.*/", 0))
+    whole = F.when(own.startswith("/"), own).otherwise(F.concat(folder, own))
+    whole = F.when(whole.rlike("/\\.\\.?$"), F.concat(whole, F.lit("/"))).otherwise(whole)
+
+    def step(kept: Column, segment: Column) -> Column:
+        up = F.when(F.size(kept) > 1, F.slice(kept, F.lit(1), F.size(kept) - 1)).otherwise(kept)
+        return F.when(segment == "..", up).when(segment == ".", kept).otherwise(F.array_append(kept, segment))
+
+    whole = F.array_join(F.aggregate(F.split(whole, "/"), F.array().cast("array<string>"), step), "/")
+    relative = F.when(own == "", F.when(rest.startswith("?"), F.concat(origin, path, rest)).otherwise(url)).otherwise(F.concat(origin, whole, rest))
+    return F.when(to.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), to).when(origin == "", None).when(to.startswith("//"), F.concat(F.regexp_extract(url, "^[^/?#]*:", 0), to)).otherwise(relative)
+
+
 def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(a, b): url and canonical link or refresh target, without fragments; targets are absolute or start with a slash."""
+    """(a, b): url and canonical link or refresh target, without fragments.
+
+    Character references in targets are decoded. Relative targets are resolved against the page's `<base href>`, itself
+    resolved against the url, or else against the url.
+    """
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
-    to = F.array(F.regexp_extract(F.regexp_extract(html, LINK, 0), HREF, 1), F.regexp_extract(F.regexp_extract(html, REFRESH, 0), TO, 1))
-    found = pages.select(F.col(url_col).cast("string").alias("url"), F.explode(to).alias("to")).where("to <> '' AND url IS NOT NULL")
-    origin = F.regexp_extract("url", "^[^/?#]*://[^/?#]*", 0)
-    to = F.when(F.col("to").startswith("//"), F.concat(F.regexp_extract("url", "^[^/?#]*:", 0), "to")).when(F.col("to").startswith("/"), F.concat(origin, "to")).otherwise(F.col("to"))
-    return found.select(_node(F.col("url")).alias("a"), _node(to).alias("b")).where("contains(b, '://')")
+    refresh = F.regexp_extract(F.regexp_extract(html, REFRESH, 0), TO, 1)
+    to = F.array(F.regexp_extract(F.regexp_extract(html, LINK, 0), HREF, 1), refresh)
+    found = pages.select(F.col(url_col).cast("string").alias("url"), F.regexp_extract(F.regexp_extract(html, BASE, 0), HREF, 1).alias("base"), F.posexplode(to).alias("at", "to")).where("to <> '' AND url IS NOT NULL")
+    # Each step is generated, so that the optimizer does not write one step's expression into every use by the next.
+    step = lambda c, name: F.explode(F.array(c)).alias(name)
+    found = found.select("url", "at", step(F.transform(F.array("base", "to"), decoded), "d"))
+    # The quotes around a refresh's target may be references themselves.
+    to = F.when(F.col("at") == 1, F.regexp_extract(F.col("d")[1], "^[\"']?([^\"']*)", 1)).otherwise(F.col("d")[1])
+    found = found.select("url", F.col("d")[0].alias("base"), step(to, "to"))
+    base = F.when(F.col("base") == "", F.col("url")).otherwise(F.coalesce(resolved(F.col("url"), F.col("base")), F.col("url")))
+    found = found.select("url", "to", step(base, "from"))
+    # A mere fragment is the page itself, whatever its base.
+    found = found.where("to <> '' AND NOT startswith(to, '#')").select("url", step(resolved(F.col("from"), F.col("to")), "to"))
+    return found.select(_node(F.col("url")).alias("a"), _node(F.col("to")).alias("b")).where("contains(b, '://')")
 
 
 def _node(url: Column) -> Column:

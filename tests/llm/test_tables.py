@@ -3,6 +3,7 @@
 import io
 import os
 import struct
+import urllib.parse
 
 import duckdb
 import numpy as np
@@ -195,3 +196,34 @@ def test_url_rules_and_aliases(spark, tmp_path):
     assert urls.filter_urls(df.limit(0)).count() == 0
     table = spark.createDataFrame(urls.RULES, "verdict string, host string, path string")
     assert sorted(map(str, urls.filter_urls(df, table).collect())) == sorted(map(str, got.collect()))
+
+
+def test_url_targets_are_decoded_and_resolved(spark):
+    at = "http://h.io/a/b/c.html?x=1#top"
+    to = ["index.html", "?p=1", "../x", "../../../x", "./", "..", "d/./e/../f?q=../r#s", "/g/../h", "//evil.net/p", "https://o.org/../k", "x?u=http://y.org/", ".hidden", "..x/y", "", "#part"]
+    rows = spark.createDataFrame([(t,) for t in to], "t string").select("t", urls.resolved(F.lit(at), F.col("t")).alias("r")).collect()
+    assert {r.t: r.r.split("#")[0] for r in rows} == {t: t if "://o." in t else urllib.parse.urljoin(at, t).split("#")[0] for t in to}
+    rows = spark.createDataFrame([("http://h.io", "x"), ("http://h.io?q", "../x"), ("http://h.io", "?p"), ("no scheme", "x"), ("no scheme", "http://y.org/")], "u string, t string").select(urls.resolved(F.col("u"), F.col("t")).alias("r")).collect()
+    assert [r.r for r in rows] == ["http://h.io/x", "http://h.io/x", "http://h.io?p", None, "http://y.org/"]
+    texts = {
+        "?p=1&amp;q=2": "?p=1&q=2", "&#47;a&#x2F;b": "/a/b", "&eacute;&#233;&#xE9;&#x1F600;": "ééé\U0001f600", "?a&copy=1&lt": "?a&copy=1<", "&ampx&amp": "&ampx&", "&nosuch;&&#;&#x;": "&nosuch;&&#;&#x;",
+        "&amp;amp;": "&amp;", "&#128;&#0;&#xD800;&#99999999999;&#x110000;": "€\ufffd\ufffd\ufffd\ufffd", "plain": "plain", "": "",
+    }
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", urls.decoded(F.col("t")).alias("d")).collect()
+    assert {r.t: r.d for r in rows} == texts
+
+
+def test_url_aliases_by_relative_and_encoded_targets(spark):
+    link, refresh = '<link rel="canonical" href="{}">', '<meta http-equiv="refresh" content="0; url={}">'
+    data = [
+        (1, "http://a.io/d/one", refresh.format("index.html")), (2, "http://a.io/d/index.html", link.format("//evil.net/p")),
+        (3, "http://b.io/x?p=0", link.format("?p=1")), (4, "http://b.io/x?p=1", link.format("http://evil.net/q")),
+        (5, "http://c.io/d/e/f", link.format("../x")), (6, "http://c.io/d/x", link.format("http://evil.net/r")),
+        (7, "http://d.io/z", link.format("http://d.io/x?p=1&amp;q=2")), (8, "http://d.io/x?p=1&q=2", link.format("http://evil.net/s")),
+        (9, "http://e.io/z", refresh.format("&#39;t&#39;")), (10, "http://e.io/t", link.format("http://evil.net/t")),
+        (11, "http://f.io/z", '<base href="/deep/">' + link.format("t")), (12, "http://f.io/deep/t", link.format("http://evil.net/u")),
+        (13, "http://f.io/t", None), (14, "http://g.io/z", link.format("mailto:x")), (15, "http://g.io/y", link.format("#part")),
+    ]
+    df = spark.createDataFrame(data, "page_id long, url string, html string")
+    got = {r.page_id: r.verdict for r in urls.filter_urls(df).collect()}
+    assert got == {i: "block" if i <= 12 else "allow" for i, *_ in data}
