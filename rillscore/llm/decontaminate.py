@@ -68,32 +68,36 @@ class ItemIndex:
     k: int
     shingles: np.ndarray  # sorted hashes of all items' shingles
     groups: dict[int, Group]
+    short: dict[int, dict[tuple, list]]  # items of fewer than k words, by length: words -> ids
 
     @classmethod
     def build(cls, items: list[tuple], k: int) -> ItemIndex:
-        known, by_length = TokenHashes(), {}
+        known, by_length, short = TokenHashes(), {}, {}
         values = np.arange(256, dtype=np.uint8)
         within = np.bitwise_count(values[:, None] ^ values[None, :]) <= RADIUS // BLOCKS
         for item, text in items:
             if len(ws := tokens(text)) >= k:
                 by_length.setdefault(len(ws), []).append((item, ws))
+            elif ws:
+                short.setdefault(len(ws), {}).setdefault(tuple(ws), []).append(item)
         groups = {}
         for n, members in by_length.items():
             each = [hashes(ws, k, known) for _, ws in members]
             prints = np.stack([fingerprints(signed(s, weights(ws, k)).sum(0)[None, :])[0] for s, (_, ws) in zip(each, members, strict=True)])
             groups[n] = Group([m[0] for m in members], [bag(ws, k) for _, ws in members], np.unique(np.concatenate(each)), prints, np.stack([within[:, prints[:, b]] for b in range(BLOCKS)]))
-        return cls(k, np.unique(np.concatenate([g.shingles for g in groups.values()])) if groups else np.zeros(0, np.uint64), groups)
+        return cls(k, np.unique(np.concatenate([g.shingles for g in groups.values()])) if groups else np.zeros(0, np.uint64), groups, short)
 
     def found(self, text: str | None, known: TokenHashes, least: float) -> list[tuple]:
         """(item, similarity, first word of the window) of the most similar window of each item that is at least so similar."""
         ws = tokens(text)
+        exact = self.occurrences(ws)
         if len(ws) < self.k or not len(self.shingles):
-            return []
+            return exact
         s = hashes(ws, self.k, known)
         at = np.minimum(np.searchsorted(self.shingles, s), len(self.shingles) - 1)
         hits = np.flatnonzero(self.shingles[at] == s)
         if not len(hits):
-            return []  # a window without any shingle of an item has similarity 0 with all of them
+            return exact  # a window without any shingle of an item has similarity 0 with all of them
         w, out = weights(ws, self.k), {}
         for n, g in self.groups.items():
             width = min(n, len(ws))  # a text shorter than the item is its only window
@@ -123,7 +127,27 @@ class ItemIndex:
                     sim = similarity(bag(ws[p : p + width], self.k), g.bags[i])
                     if sim >= least and sim > out.get(g.ids[i], (0.0,))[0]:
                         out[g.ids[i]] = (sim, p)
-        return [(i, sim, p) for i, (sim, p) in out.items()]
+        return _once(exact + [(i, sim, p) for i, (sim, p) in out.items()]) if exact else [(i, sim, p) for i, (sim, p) in out.items()]
+
+    def occurrences(self, ws: list[str]) -> list[tuple]:
+        """The first window of each item of fewer than k words: such an item is one shingle, so its similarity is 1 or 0."""
+        out = []
+        for n, items in self.short.items():
+            first = {}
+            for p, window in enumerate(zip(*(ws[i:] for i in range(n)), strict=False)):
+                if window in items:
+                    first.setdefault(window, p)
+            out += [(i, 1.0, p) for window, p in first.items() for i in items[window]]
+        return _once(out)
+
+
+def _once(rows: list[tuple]) -> list[tuple]:
+    """The most similar row of each item, the first of equals."""
+    best = {}
+    for i, sim, p in rows:
+        if i not in best or (-sim, p) < (-best[i][0], best[i][1]):
+            best[i] = (sim, p)
+    return [(i, sim, p) for i, (sim, p) in best.items()]
 
 
 class TokenHashes(WordHashes):
@@ -151,7 +175,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, k: int = 5, least: flo
 
     Words are runs of letters, digits and underscores, lower-cased, so case, punctuation and white space do not matter. One row per input row and item, with the item's most similar window (the first of equals).
     A window is as long as the item; a text of at least k words but fewer than the item is one window as a whole.
-    Items of fewer than k words are too short to tell from chance and are not searched; null and empty texts hold and are
+    An item of fewer than k words is one shingle, found where its words occur in a row; null and empty texts hold and are
     nothing; repeated rows are answered each; empty tables give an empty table. The items go to the tasks in blocks of
     items_at_once (a pass over the documents each), so what is broadcast is bounded however many items there are. A task
     works on one document at a time and on stretches of bounded length around shared shingles; nothing is shuffled.

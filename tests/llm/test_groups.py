@@ -161,6 +161,16 @@ def test_benchmark_in_documents_shorter_than_the_item(spark):
     assert left == {d for d, _ in texts} - {d for d, _, _ in want}
 
 
+def test_benchmark_items_shorter_than_a_shingle():
+    long = " ".join(f"term{i}" for i in range(20))
+    index = decontaminate.ItemIndex.build([(1, "Two, words"), (2, "two words"), (3, "日本語の長い文"), (4, "a b c d"), (5, long), (5, "term3"), (None, "!")], 5)
+    find = lambda t: sorted(index.found(t, decontaminate.TokenHashes(), 0.8))
+    assert find("words, two WORDS two words") == [(1, 1.0, 1), (2, 1.0, 1)]
+    assert find("日本語の長い文。") == [(3, 1.0, 0)] and find("a b c e d a b c d") == [(4, 1.0, 5)]
+    assert find(long + " two words") == [(1, 1.0, 20), (2, 1.0, 20), (5, 1.0, 0)]
+    assert find("twowords a b c") == find("") == find(None) == []
+
+
 def test_benchmark_awkward_rows(spark, docs):
     text = docs.where("doc_id = 1").first().text
     bench = spark.createDataFrame([(1, text), (2, None), (3, ""), (4, "short"), (None, text)], "item_id long, text string")
