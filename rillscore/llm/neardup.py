@@ -1,18 +1,19 @@
 """Exact n-gram Jaccard join by partitioning the universe of shingles (pigeonhole), without pairs of copies.
 
 Two sets of sizes s <= l with Jaccard >= num/den differ in at most H = (den-num)/(den+num) * (s+l) elements. The universe
-is hashed into m segments by size band; if no segment may be equal, each of them differs at least once. Hence:
-
-* bands with many shingles a segment: m = H + 1 + D segments and their exact contents as keys. Empty segments say nothing
-  and are skipped as long as a set has at most D of them; a pair that shares more than D empty segments consists of two
-  sets that both list their empty segments too.
-* bands of small sets, where such segments would hold one or two shingles: m = ceil((H+1)/2) segments, and keys are the
-  contents and their one-deletion neighbourhoods, so a segment must differ twice to be missed.
-
-`band_plan` chooses between the two, and D, by the expected cost. A set writes keys for its own band and, where a larger
-partner may be in it, for the next one. Sets that are equal are one node from the start (a task writes the keys of equal
-sets once); of a key's nodes only the pairs with a pivot are verified, then those that neither the known components nor
-the triangle inequality of the Jaccard distance has decided. No link is lost, no group is expanded into all its pairs.
+is hashed into m segments by size band. At least m - H segments of two linked sets are equal, so a set may leave out the
+m - H - 1 segments that come last in an order of contents that both sets share: of the equal segments the best one stays
+in both. Hence:
+
+* a set writes a key for each of its H + 1 best segments: those with the most shingles, so that few unrelated sets have
+  them too. H is the bound for the set's own size. How many segments to cut the universe into is a matter of cost: more
+  segments leave more of them out, but hold fewer shingles each (`segments_for`).
+* bands of small sets where H = 1: one segment, and keys are the set and its one-deletion neighbourhood.
+
+A set writes keys for its own band and, where a larger partner may be in it, for the next one. Sets that are equal are one
+node from the start (a task writes the keys of equal sets once). A key that two nodes share gives that pair; of the nodes
+of other keys only the pairs with a pivot are verified, then those that neither the known components nor the triangle
+inequality of the Jaccard distance has decided. No link between components is lost, no group is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -22,9 +23,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,30 +38,47 @@ def most_apart(size_sum: int, num: int, den: int) -> int:
     return (den - num) * size_sum // (den + num)
 
 
+def segments_for(low: int, h: int) -> int:
+    """Segments that make the h + 1 best ones of a set of `low` shingles cheapest.
+
+    The cost of a key is how many unrelated sets have it too: many if it is empty, some with one shingle, few with more.
+    The expected number of listed segments with at most c shingles follows from how many segments hold more than c.
+    """
+    best, want = (math.inf, h + 1), h + 1
+    for m in sorted({want + max(1, want * i // 16) for i in range(1, 33)} | {want + i for i in range(12)}):
+        cost, at_most, p = 0.0, 0.0, math.exp(-low / m)
+        for c, price in enumerate((1.0, 1e-2, 1e-4)):
+            at_most += p
+            p *= low / m / (c + 1)
+            more = max(0.0, 1 - at_most)
+            if m <= 64:
+                short = sum((want - i) * math.comb(m, i) * more**i * at_most ** (m - i) for i in range(want))
+            else:
+                mean, dev = m * more, math.sqrt(m * more * at_most) + 1e-9
+                d = (want - mean) / dev
+                short = dev * (math.exp(-d * d / 2) / math.sqrt(2 * math.pi) + d * (1 + math.erf(d / math.sqrt(2))) / 2)
+            cost += price * short
+        best = min(best, (cost + 1e-6 * m, m))
+    return best[1]
+
+
 @lru_cache(maxsize=8)
-def band_plan(num: int, den: int, most: int = 1 << 31) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bands of set sizes: largest size, segments, empty segments that may be skipped, whether deletions are indexed.
+def band_plan(num: int, den: int, most: int = 1 << 31) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bands of set sizes: largest size, segments, whether deletions are indexed.
 
     Band 0 holds the sizes where only equal sets can be linked; it needs no keys.
     """
     u = 0
     while most_apart(2 * (u + 1), num, den) == 0:
         u += 1
-    upper, segments, spare, delete = [u], [0], [0], [False]
+    upper, segments, delete = [u], [0], [False]
     while u < most:
         u = max(u + 1, u * den // num)
         h = most_apart(2 * u, num, den)
-        d = 0
-        for _ in range(4):  # empty segments to expect in the band's smaller sets, with a margin
-            rate = (h + 1 + d) * math.exp(-u * num / den / (h + 1 + d))
-            d = math.ceil(rate + 2.5 * math.sqrt(rate))
-        # Cost: exact segments are few keys, but need about three shingles each to be selective; deletions cost a key a shingle.
-        use_delete = u * num / den / (h + 1 + d) < 3 and u <= 64
         upper.append(u)
-        delete.append(use_delete)
-        segments.append((h + 2) // 2 if use_delete else h + 1 + d)
-        spare.append(0 if use_delete else d)
-    return np.array(upper, np.int64), np.array(segments, np.int64), np.array(spare, np.int64), np.array(delete)
+        delete.append(h == 1)
+        segments.append(1 if h == 1 else segments_for(max(1, u * num // den), h))
+    return np.array(upper, np.int64), np.array(segments, np.int64), np.array(delete)
 
 
 def bands_of(n: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
@@ -74,6 +90,12 @@ def bands_of(n: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]
     return np.concatenate([which[own > 0], which[reach]]), np.concatenate([own[own > 0], own[reach] + 1])
 
 
+def key_counts(n: np.ndarray, band: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Keys that sets of sizes n write for a band: with deletions all, else one more than they can differ from a partner there."""
+    upper, _, delete = band_plan(num, den)
+    return np.where(delete[band], n + 1, (den - num) * (n + np.minimum(upper[band], n * den // num)) // (den + num) + 1)
+
+
 def sets_of(texts: list[str | None], k: int, known: WordHashes) -> list[np.ndarray]:
     """Distinct shingle hashes of each text, sorted."""
     split = [words_of(t) for t in texts]
@@ -115,7 +137,7 @@ def parities(sets: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]
 
 def keys_of(sets: list[np.ndarray], n: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """(set, key) of all segment keys."""
-    _, segments, spare, delete = band_plan(num, den)
+    _, segments, delete = band_plan(num, den)
     which, band = bands_of(n, num, den)
     if not len(which):
         return np.zeros(0, np.int64), np.zeros(0, U64)
@@ -131,9 +153,13 @@ def keys_of(sets: list[np.ndarray], n: np.ndarray, num: int, den: int) -> tuple[
     size = np.bincount(seg, minlength=len(content))
     seg_job = np.repeat(np.arange(len(which)), m)
     place = mix((band[seg_job].astype(U64) << U64(40)) + (np.arange(len(content)) - first[seg_job]).astype(U64), 2)
-    empty = np.bincount(seg_job, weights=size == 0, minlength=len(which))
-    lists = (size > 0) | (delete[band] | (empty > spare[band]))[seg_job]
-    out_set, out_key = [which[seg_job[lists]]], [mix(content[lists] ^ place[lists])]
+    key = mix(content ^ place)
+    # The common order of contents: most shingles first, then by key; equal keys of a set keep the order of their places.
+    order = np.lexsort((key, -size, seg_job))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order)) - first[seg_job[order]]
+    lists = (rank < key_counts(lens, band, num, den)[seg_job]) | delete[band][seg_job]
+    out_set, out_key = [which[seg_job[lists]]], [key[lists]]
     if (less := delete[band][job]).any():
         out_set.append(which[job[less]])
         out_key.append(mix((content[seg[less]] - value[less]) ^ place[seg[less]]))
@@ -145,26 +171,34 @@ def _as_long(x: np.ndarray) -> pa.Array:
 
 
 def _sets_table(src: DataFrame, k: int, num: int, den: int) -> DataFrame:
-    """id, node (identity of the shingle set), n, n_keys, and the parity bits: one row per document."""
-    _, segments, _, delete = band_plan(num, den)
+    """id, node (identity of the shingle set), n, n_keys: one row per document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
         for b in chunks(batches, "text"):
-            sets = sets_of(b.column(1).to_pylist(), k, known)
-            node, n = identity(sets)
-            bits, half = (pa.array(x, pa.list_(pa.int64())) for x in parities(sets))
+            node, n = identity(sets_of(b.column(1).to_pylist(), k, known))
             which, band = bands_of(n, num, den)
-            cost = np.bincount(which, weights=segments[band] + np.where(delete[band], n[which], 0), minlength=len(n)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), _as_long(node), pa.array(n), pa.array(cost), bits, half], ["id", "node", "n", "n_keys", "bits", "half"])
+            cost = np.bincount(which, weights=key_counts(n[which], band, num, den), minlength=len(n)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), _as_long(node), pa.array(n), pa.array(cost)], ["id", "node", "n", "n_keys"])
+
+    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, node long, n long, n_keys long")
 
-    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, node long, n long, n_keys long, bits array<long>, half array<long>")
 
+def _blocks(part: np.ndarray, key: np.ndarray, node: np.ndarray, hot: bool) -> pa.RecordBatch:
+    order = np.argsort(part, kind="stable")
+    part, key, node = part[order], key[order], node[order]
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(part)]
+    cells = [pa.array([x[a:z].tobytes() for a, z in zip(cuts, cuts[1:], strict=False)], pa.binary()) for x in (key, node)]
+    return pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]], pa.int64()), *cells, pa.array([hot] * (len(cuts) - 1))], ["part", "keys", "nodes", "hot"])
 
-def _shared_keys(src: DataFrame, k: int, num: int, den: int, parts: int) -> DataFrame:
-    """(key, node) of all keys that two nodes or more have.
 
-    Keys travel in blocks, 16 bytes each, to `parts` groups by key; a group holds a bounded number of keys.
+def _shared_keys(src: DataFrame, k: int, num: int, den: int, parts: int, hot: int = 8) -> DataFrame:
+    """(key, x, y): the nodes x of all keys that several nodes have, y null; of a key with two nodes the pair, key null.
+
+    Keys travel in blocks to `parts` groups, by their upper half; their lower half and the node are 12 bytes. A group holds
+    about a million keys, so two keys that differ and agree in both are rare, and only cost a comparison. A key that `hot`
+    nodes of one piece of text have is known to be shared: its nodes go to other groups, dealt by node, and only one of
+    them meets the key's other nodes, so a key of very many near copies does not fill a group.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,25 +217,51 @@ def _shared_keys(src: DataFrame, k: int, num: int, den: int, parts: int) -> Data
             which, key = keys_of(sets, n, num, den)
             if not len(key):
                 continue
-            part = (key % U64(parts)).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            key, owner, part = key[order], node[which][order], part[order]
-            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(part)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part[cuts[:-1]], pa.int64()), *(pa.array([x[a:z].tobytes() for a, z in zip(cuts, cuts[1:], strict=False)], pa.binary()) for x in (key, owner))], ["part", "keys", "nodes"]
-            )
-
-    def shared(pdf: pd.DataFrame) -> pd.DataFrame:
-        key, node = (np.frombuffer(b"".join(pdf[c]), U64) for c in ("keys", "nodes"))
+            order = np.argsort(key, kind="stable")
+            key, owner = key[order], node[which][order]
+            starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            times = np.diff(np.append(starts, len(key)))
+            part, low = (((key >> U64(32)) * U64(parts)) >> U64(32)).astype(np.int64), key.astype(np.uint32)
+            known_shared = np.repeat(times >= hot, times)
+            if known_shared.any():
+                whole = (part[known_shared].astype(U64) << U64(32)) | low[known_shared].astype(U64)
+                yield _blocks(parts + (mix(owner[known_shared], 7) % U64(parts)).astype(np.int64), whole, owner[known_shared], False)
+                one = starts[times >= hot]
+                yield _blocks(part[one], low[one], owner[one], True)
+            if not known_shared.all():
+                yield _blocks(part[~known_shared], low[~known_shared], owner[~known_shared], False)
+
+    def shared(group: pa.Table) -> pa.Table:
+        part = group.column("part")[0].as_py()
+        keys, nodes = ([np.frombuffer(x, t) for x in group.column(c).to_pylist()] for c, t in (("keys", U64 if part >= parts else np.uint32), ("nodes", U64)))
+        flag = np.repeat(group.column("hot").to_numpy(), list(map(len, keys)))
+        key, node = np.concatenate(keys).astype(U64), np.concatenate(nodes)
         order = np.lexsort((node, key))
-        key, node = key[order], node[order]
+        key, node, flag = key[order], node[order], flag[order]
         keep = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        flagged = np.maximum.reduceat(flag, starts) | (part >= parts)
+        nth = np.cumsum(keep)
+        times = np.diff(np.append(nth[starts] - 1, nth[-1]))
+        group_of = np.cumsum(np.append(True, key[1:] != key[:-1]))[keep] - 1
         key, node = key[keep], node[keep]
-        same = key[1:] == key[:-1]
-        keep = np.append(same, False) | np.append(False, same)
-        return pd.DataFrame({"key": key[keep].view(np.int64), "node": node[keep].view(np.int64)})
+        two = (times == 2) & ~flagged
+        member = (flagged | (times > 2))[group_of]
+        first = (nth[starts] - 1)[two]
+        x, y = _pairs(node[first], node[first + 1])
+        whole = key[member] | (U64(0) if part >= parts else U64(part) << U64(32))
+        nulls = lambda a, n, before: pa.concat_arrays([pa.nulls(n, pa.int64()), _as_long(a)] if before else [_as_long(a), pa.nulls(n, pa.int64())])
+        return pa.table([nulls(whole, len(x), True), _as_long(np.concatenate([x, node[member]])), nulls(y, len(whole), False)], ["key", "x", "y"])
+
+    return src.mapInArrow(write, "part long, keys binary, nodes binary, hot boolean").groupBy("part").applyInArrow(shared, "key long, x long, y long")
+
 
-    return src.mapInArrow(write, "part long, keys binary, nodes binary").groupBy("part").applyInPandas(shared, "key long, node long")
+def _pairs(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ones of the pairs."""
+    order = np.lexsort((y, x))
+    x, y = x[order], y[order]
+    keep = np.append(True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])) if len(x) else np.zeros(0, bool)
+    return x[keep], y[keep]
 
 
 def _shingles(text: str, k: int) -> set:
@@ -233,90 +293,66 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     """Groups of near duplicates over k-word shingles at Jaccard >= num/den, exactly.
 
     Returns one row per input row: id, n_shingles, component_id (the smallest id reachable by links, itself included) and
-    n_links_seen (links with its set that were verified). Words are `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z; a text of fewer than k words is
-    one shingle; null texts and texts without words have no shingles and no links (component_id is their own id). Rows
-    that repeat an id are one vertex and each get a row. A row whose id is null links others only through its equal
-    copies and gets their component, or null. An empty table gives an empty table. Equal sets are recognised by a 64-bit
-    sum of their shingle hashes; candidates are compared on the shingles themselves.
+    n_links_seen (links with its set that were verified: at least one for a member of a group of different texts; links
+    inside a known group are not looked for, so this is a lower bound). Words are `[^\\x20\\x09-\\x0D]+` after lower-casing
+    A-Z; a text of fewer than k words is one shingle; null texts and texts without words have no shingles and no links
+    (component_id is their own id). Rows that repeat an id are one vertex and each get a row. A row whose id is null links
+    others only through its equal copies and gets their component, or null. An empty table gives an empty table. Equal sets
+    are recognised by a 64-bit sum of their shingle hashes; candidates are compared on the shingles themselves.
     """
     if not den <= 2 * num <= 2 * den:
         raise ValueError("the similarity must lie between 0.5 and 1")
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     sets = table(_sets_table(src, k, num, den), "sets")
     keys = sets.agg(F.sum("n_keys")).first()[0] or 0
-    parts = max(240, keys * 16 // part_bytes)
-    shared = table(_shared_keys(src, k, num, den, parts), "shared")
-    classes = sets.where("n > 0").groupBy("node").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.first("bits").alias("bits"), F.first("half").alias("half"), F.count("*").alias("copies"))
-    info = table(shared.groupBy("node").agg(F.count("*").alias("degree")).join(classes.where("rep IS NOT NULL"), "node"), "info")
-
-    def own_node(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
-        for b in chunks(batches, "text"):
-            node, _ = identity(sets_of(b.column("text").to_pylist(), k, known))
-            yield b.filter(pc.equal(_as_long(node), b.column("node")))
-
-    def texts_of(need: DataFrame, name: str) -> DataFrame:
-        """(node, text) of some nodes: of equal sets one text, so one id that occurs in very many rows stays one row.
-
-        The documents are shuffled once here, at every size alike.
-        """
-        reps = info.join(need, "node", "left_semi").select(F.col("rep").alias("id"), "node")
-        found = src.join(reps.hint("merge"), "id").select("id", "node", "text")
-        return table(found.mapInArrow(own_node, found.schema).groupBy("id", "node").agg(F.first("text").alias("text")).drop("id"), name)
+    shared = table(_shared_keys(src, k, num, den, max(240, keys * 12 // part_bytes)), "shared")
+    pairs, members = shared.where("key IS NULL").select("x", "y"), shared.where("key IS NOT NULL").select("key", F.col("x").alias("node"))
+    classes = sets.where("n > 0").groupBy("node").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.count("*").alias("copies"))
+    degrees = members.groupBy("node").agg(F.count("*").alias("degree")).unionByName(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct().withColumn("degree", F.lit(0).cast("long")))
+    info = table(degrees.groupBy("node").agg(F.sum("degree").alias("degree")).join(classes.where("rep IS NOT NULL").drop("copies"), "node"), "info")
+    texts = table(_texts(src, info.select(F.col("rep").alias("id"), "node"), k), "texts")
 
     apart = F.expr(f"{den - num} * (n_x + n_y) div {den + num}")
+    alike_sizes = F.least("n_x", "n_y") * den >= F.greatest("n_x", "n_y") * num
     short = lambda a, b: F.when(F.size(f"bits_{a}") <= F.size(f"bits_{b}"), F.col(f"bits_{a}")).otherwise(F.col(f"half_{a}"))
     differ = F.aggregate(F.zip_with(short("x", "y"), short("y", "x"), lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda s, c: s + c)
-    possible = (F.least("n_x", "n_y") * den >= F.greatest("n_x", "n_y") * num) & (differ <= apart)
-    side = lambda c: info.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}"), F.col("half").alias(f"half_{c}"))
-
-    def stars(members: DataFrame) -> DataFrame:
-        """(x, y): each member of a key with the key's pivot, the node that shares most keys (an original more than its copies)."""
-        pivots = members.join(info.select("node", "degree"), "node").groupBy("key").agg(F.max(F.struct("degree", "node")).alias("p"))
-        return members.join(pivots, "key").select("key", F.col("node").alias("x"), F.col("p.node").alias("y"))
-
-    known_texts: list[DataFrame] = []
-
-    def verify(pairs: DataFrame, name: str) -> DataFrame:
-        """(x, y, d, link) of the pairs that sizes and parity bits leave open, on their real shingles."""
-        some = pairs.where("x <> y").select("x", "y").distinct().join(side("x"), "x").join(side("y"), "y").where(possible).select("x", "y")
-        some = table(some, f"{name}-pairs")
-        need = some.select(F.explode(F.array("x", "y")).alias("node")).distinct()
-        for t in known_texts:
-            need = need.join(t, "node", "left_anti")
-        need = table(need, f"{name}-nodes")
-        if not known_texts or need.limit(1).count():
-            known_texts.append(texts_of(need, f"{name}-texts"))
-        texts = known_texts[0]
-        for t in known_texts[1:]:
-            texts = texts.unionByName(t)
-        out = _verify(some, texts, k)
-        return table(out.select("x", "y", (1 - F.col("common") / F.col("either")).alias("d"), (F.col("common") * den >= F.col("either") * num).alias("link")), name)
-
-    first = table(stars(shared), "stars")
-    seen = verify(first, "verified")
+    of = lambda df, c, *names: df.select(F.col("node").alias(c), *[F.col(f).alias(f"{f}_{c}") for f in names])
+
+    def verify(some: DataFrame, name: str) -> DataFrame:
+        """(x, y, d, link) of the pairs that sizes and then parity bits leave open, on their real shingles."""
+        some = some.where("x <> y").select("x", "y").distinct().join(of(info, "x", "n"), "x").join(of(info, "y", "n"), "y").where(alike_sizes)
+        some = some.join(of(texts, "x", "bits", "half"), "x").join(of(texts, "y", "bits", "half"), "y").where(differ <= apart).select("x", "y")
+        out = _verify(table(some, f"{name}-pairs"), texts, k)
+        out = out.select("x", "y", (1 - F.col("common") / F.col("either")).alias("d"), (F.col("common") * den >= F.col("either") * num).alias("link"))
+        return table(out.dropDuplicates(["x", "y"]), name)
+
+    def stars(some: DataFrame) -> DataFrame:
+        """(key, x, y): each member of a key with the key's pivot, the node that shares most keys (an original more than its copies)."""
+        pivots = some.join(info.select("node", "degree"), "node").groupBy("key").agg(F.max(F.struct("degree", "node")).alias("p"))
+        return some.join(pivots, "key").select("key", F.col("node").alias("x"), F.col("p.node").alias("y"))
+
+    first = table(stars(members), "stars")
+    seen = verify(first.select("x", "y").unionByName(pairs), "verified")
     # What the pivot doesn't link: a second pivot among those, then all pairs that are still open.
-    away = first.where("x <> y").join(seen, ["x", "y"], "left").where("link IS NULL OR NOT link").select("key", F.col("x").alias("node"), "d")
-    away = table(away, "away")
+    told = first.join(seen, ["x", "y"], "left").select("key", F.col("x").alias("node"), F.when(F.col("x") == F.col("y"), F.lit(0.0)).otherwise(F.col("d")).alias("d"), (F.col("x") == F.col("y")).alias("pivot"), F.coalesce("link", F.lit(False)).alias("link"))
+    told = table(told, "told")
+    away = told.where("NOT pivot AND NOT link")
     if away.limit(1).count():
         second = verify(stars(away.select("key", "node")), "verified2")
         seen = seen.unionByName(second)
-        comp = connected_components(seen.where("link").select(F.col("x").alias("a"), F.col("y").alias("b")), "first")
-        comp = comp.withColumnRenamed("label", "comp")
-        near = first.join(seen.select("x", "y", "d"), ["x", "y"], "left").select("key", F.col("x").alias("node"), F.when(F.col("x") == F.col("y"), F.lit(0.0)).otherwise(F.col("d")).alias("d"))
-        near = near.join(away.select("key").distinct(), "key", "left_semi")
+        comp = connected_components(seen.where("link").select(F.col("x").alias("a"), F.col("y").alias("b")), "first").withColumnRenamed("label", "comp")
+        sized = info.select("node", "n").join(comp, "node", "left").select("node", "n", F.coalesce("comp", "node").alias("comp"))
 
         def end(df: DataFrame, c: str) -> DataFrame:
-            df = df.join(comp, "node", "left").select("key", F.col("node").alias(c), F.col("d").alias(f"d_{c}"), F.coalesce("comp", "node").alias(f"comp_{c}"))
-            return df.join(side(c), c)
+            return df.join(sized, "node").select("key", F.col("node").alias(c), F.col("d").alias(f"d_{c}"), F.col("n").alias(f"n_{c}"), F.col("comp").alias(f"comp_{c}"))
 
         slack = (den - num) / den + 1e-9
-        open_pairs = end(away, "x").join(end(near, "y"), "key").where("x <> y AND comp_x <> comp_y").where(possible)
+        near = told.join(away.select("key").distinct(), "key", "left_semi")
+        open_pairs = end(away, "x").join(end(near, "y"), "key").where("x <> y AND comp_x <> comp_y").where(alike_sizes)
         open_pairs = open_pairs.where(F.expr(f"d_x IS NULL OR d_y IS NULL OR abs(d_x - d_y) <= {slack}D"))
-        open_pairs = open_pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+        open_pairs = table(open_pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "open")
         done = seen.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-        third = verify(table(open_pairs.join(done, ["x", "y"], "left_anti"), "open"), "verified3")
-        seen = seen.unionByName(third)
+        seen = seen.unionByName(verify(open_pairs.join(done, ["x", "y"], "left_anti"), "verified3"))
 
     reps = info.select("node", "rep")
     links = seen.where("link").select("x", "y")
@@ -325,9 +361,35 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     twice = sets.where("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.min("node").alias("p"), F.max("node").alias("q"), F.count_distinct("node").alias("c")).where("c > 1")
     alike = sets.join(twice.select("id"), "id", "left_semi").select("id", "node").join(classes.select("node", "rep"), "node").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     comp = connected_components(edges.unionByName(alike), "links").withColumnsRenamed({"node": "rep", "label": "component"})
-    n_links = seen.where("link").select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
+    n_links = links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     of_node = classes.join(comp, "rep", "left").where("copies > 1 OR component IS NOT NULL").select("node", F.coalesce("component", "rep").alias("component")).join(n_links, "node", "left")
     of_node = table(of_node, "of-node")
     return sets.join(of_node, "node", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.col("id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links_seen")
     )
+
+
+def _texts(src: DataFrame, reps: DataFrame, k: int) -> DataFrame:
+    """(node, text, bits, half) of the nodes in reps(id, node): of equal sets one text. The documents are shuffled once, by id.
+
+    An id may have several texts, hence the comparison of sets. A task keeps one row for each node of an id; an id that
+    occurs in very many rows may come from several tasks, with equal rows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, at, done = WordHashes(), None, set()
+        for b in chunks(batches, "text"):
+            sets = sets_of(b.column(2).to_pylist(), k, known)
+            right = identity(sets)[0].view(np.int64).tolist()
+            keep = []
+            for i, (x, want, got) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), right, strict=True)):
+                if x != at:
+                    at, done = x, set()
+                if want == got and got not in done:
+                    done.add(got)
+                    keep.append(i)
+            whole, half = parities([sets[i] for i in keep])
+            rows = b.take(pa.array(keep, pa.int64()))
+            yield pa.RecordBatch.from_arrays([rows.column(1), rows.column(2), *(pa.array(x, pa.list_(pa.int64())) for x in (whole, half))], ["node", "text", "bits", "half"])
+
+    return src.join(reps.hint("merge"), "id").select("id", "node", "text").mapInArrow(run, "node long, text string, bits array<long>, half array<long>")
