@@ -12,8 +12,11 @@ in both. Hence:
 
 A set writes keys for its own band and, where a larger partner may be in it, for the next one. Sets that are equal are one
 node from the start (a task writes the keys of equal sets once). A key that two nodes share gives that pair; of the nodes
-of other keys only the pairs with a pivot are verified, then those that neither the known components nor the triangle
-inequality of the Jaccard distance has decided. No link between components is lost, no group is expanded into all its pairs.
+of other keys only the pairs with a pivot are verified, and with a second pivot what the first one leaves. Where a key then
+still has nodes of several components, those nodes are joined once more on their rarest shingles: of the shingles of a set
+of n, in the order of how many of these nodes have them, two linked sets share one of the first n - ceil(n * num / den) + 1
+(fewer of the smaller set). Edited copies of one text have shingles of their own there and meet nobody. No link between components is lost, no group
+is expanded into all its pairs.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillscore.llm.common import WordHashes, chunks, mix, shingle_hashes, table, words_of
@@ -184,6 +187,9 @@ def _sets_table(src: DataFrame, k: int, num: int, den: int) -> DataFrame:
     return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, node long, n long, n_keys long")
 
 
+BLOCK = "part long, keys binary, nodes binary, hot boolean"
+
+
 def _blocks(part: np.ndarray, key: np.ndarray, node: np.ndarray, hot: bool) -> pa.RecordBatch:
     order = np.argsort(part, kind="stable")
     part, key, node = part[order], key[order], node[order]
@@ -192,13 +198,52 @@ def _blocks(part: np.ndarray, key: np.ndarray, node: np.ndarray, hot: bool) -> p
     return pa.RecordBatch.from_arrays([pa.array(part[cuts[:-1]], pa.int64()), *cells, pa.array([hot] * (len(cuts) - 1))], ["part", "keys", "nodes", "hot"])
 
 
-def _shared_keys(src: DataFrame, k: int, num: int, den: int, parts: int, hot: int = 8) -> DataFrame:
+def _dealt(key: np.ndarray, node: np.ndarray, parts: int, kind: type, hot: int = 8) -> Iterator[pa.RecordBatch]:
+    """Blocks of (key, node) for `parts` groups by the key's upper half; a block holds the keys as `kind` (cut off) and the nodes.
+
+    A key that `hot` nodes of one piece of text have is known to be shared: its nodes go to other groups, dealt by node,
+    and only one of them, marked, meets the key's other nodes. So a key of very many near copies does not fill a group.
+    """
+    if not len(key):
+        return
+    order = np.argsort(key, kind="stable")
+    key, node = key[order], node[order]
+    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    times = np.diff(np.append(starts, len(key)))
+    part, low = (((key >> U64(32)) * U64(parts)) >> U64(32)).astype(np.int64), key.astype(kind)
+    many = np.repeat(times >= hot, times)
+    if many.any():
+        whole = key[many] if kind == U64 else (part[many].astype(U64) << U64(32)) | low[many].astype(U64)
+        yield _blocks(parts + (mix(node[many], 7) % U64(parts)).astype(np.int64), whole, node[many], False)
+        one = starts[times >= hot]
+        yield _blocks(part[one], low[one], node[one], True)
+    if not many.all():
+        yield _blocks(part[~many], low[~many], node[~many], False)
+
+
+def _gathered(group: pa.Table, parts: int, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a group's blocks: the distinct (key, node) in order, and of each key how many nodes are here and whether there are more."""
+    part = group.column("part")[0].as_py()
+    kind = U64 if part >= parts else kind
+    keys, nodes = ([np.frombuffer(x, t) for x in group.column(c).to_pylist()] for c, t in (("keys", kind), ("nodes", U64)))
+    flag = np.repeat(group.column("hot").to_numpy(), list(map(len, keys)))
+    key, node = np.concatenate(keys).astype(U64), np.concatenate(nodes)
+    order = np.lexsort((node, key))
+    key, node, flag = key[order], node[order], flag[order]
+    fresh = np.append(True, key[1:] != key[:-1])
+    keep = fresh | np.append(True, node[1:] != node[:-1])
+    starts = np.flatnonzero(fresh)
+    many = np.maximum.reduceat(flag, starts) | (part >= parts)
+    nth = np.cumsum(keep)
+    times = np.diff(np.append(nth[starts] - 1, nth[-1]))
+    return key[keep] | (U64(0) if kind == U64 else U64(part) << U64(32)), node[keep], times, many
+
+
+def _shared_keys(src: DataFrame, k: int, num: int, den: int, parts: int) -> DataFrame:
     """(key, x, y): the nodes x of all keys that several nodes have, y null; of a key with two nodes the pair, key null.
 
-    Keys travel in blocks to `parts` groups, by their upper half; their lower half and the node are 12 bytes. A group holds
-    about a million keys, so two keys that differ and agree in both are rare, and only cost a comparison. A key that `hot`
-    nodes of one piece of text have is known to be shared: its nodes go to other groups, dealt by node, and only one of
-    them meets the key's other nodes, so a key of very many near copies does not fill a group.
+    A key's part and its lower half tell it from nearly all others (a group holds about a million keys); where two keys
+    agree in both, there is a comparison more.
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,47 +258,40 @@ def _shared_keys(src: DataFrame, k: int, num: int, den: int, parts: int, hot: in
                 if x not in seen:
                     seen.add(x)
                     new.append(i)
-            sets, node, n = [sets[i] for i in new], node[new], n[new]
-            which, key = keys_of(sets, n, num, den)
-            if not len(key):
-                continue
-            order = np.argsort(key, kind="stable")
-            key, owner = key[order], node[which][order]
-            starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            times = np.diff(np.append(starts, len(key)))
-            part, low = (((key >> U64(32)) * U64(parts)) >> U64(32)).astype(np.int64), key.astype(np.uint32)
-            known_shared = np.repeat(times >= hot, times)
-            if known_shared.any():
-                whole = (part[known_shared].astype(U64) << U64(32)) | low[known_shared].astype(U64)
-                yield _blocks(parts + (mix(owner[known_shared], 7) % U64(parts)).astype(np.int64), whole, owner[known_shared], False)
-                one = starts[times >= hot]
-                yield _blocks(part[one], low[one], owner[one], True)
-            if not known_shared.all():
-                yield _blocks(part[~known_shared], low[~known_shared], owner[~known_shared], False)
+            which, key = keys_of([sets[i] for i in new], n[new], num, den)
+            yield from _dealt(key, node[new][which], parts, np.uint32)
 
     def shared(group: pa.Table) -> pa.Table:
-        part = group.column("part")[0].as_py()
-        keys, nodes = ([np.frombuffer(x, t) for x in group.column(c).to_pylist()] for c, t in (("keys", U64 if part >= parts else np.uint32), ("nodes", U64)))
-        flag = np.repeat(group.column("hot").to_numpy(), list(map(len, keys)))
-        key, node = np.concatenate(keys).astype(U64), np.concatenate(nodes)
-        order = np.lexsort((node, key))
-        key, node, flag = key[order], node[order], flag[order]
-        keep = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))
-        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        flagged = np.maximum.reduceat(flag, starts) | (part >= parts)
-        nth = np.cumsum(keep)
-        times = np.diff(np.append(nth[starts] - 1, nth[-1]))
-        group_of = np.cumsum(np.append(True, key[1:] != key[:-1]))[keep] - 1
-        key, node = key[keep], node[keep]
-        two = (times == 2) & ~flagged
-        member = (flagged | (times > 2))[group_of]
-        first = (nth[starts] - 1)[two]
+        key, node, times, many = _gathered(group, parts, np.uint32)
+        first = (np.cumsum(times) - times)[(times == 2) & ~many]
+        member = np.repeat(many | (times > 2), times)
         x, y = _pairs(node[first], node[first + 1])
-        whole = key[member] | (U64(0) if part >= parts else U64(part) << U64(32))
-        nulls = lambda a, n, before: pa.concat_arrays([pa.nulls(n, pa.int64()), _as_long(a)] if before else [_as_long(a), pa.nulls(n, pa.int64())])
-        return pa.table([nulls(whole, len(x), True), _as_long(np.concatenate([x, node[member]])), nulls(y, len(whole), False)], ["key", "x", "y"])
+        none = lambda n: pa.nulls(n, pa.int64())
+        return pa.table([pa.concat_arrays([none(len(x)), _as_long(key[member])]), _as_long(np.concatenate([x, node[member]])), pa.concat_arrays([_as_long(y), none(member.sum())])], ["key", "x", "y"])
 
-    return src.mapInArrow(write, "part long, keys binary, nodes binary, hot boolean").groupBy("part").applyInArrow(shared, "key long, x long, y long")
+    return src.mapInArrow(write, BLOCK).groupBy("part").applyInArrow(shared, "key long, x long, y long")
+
+
+def _frequencies(texts: DataFrame, k: int, parts: int) -> DataFrame:
+    """Of the sets of texts(node, text): (node, alone) with alone the number of shingles that no other of them has, in parts
+    to be summed, and (node, shingle, times) of the others, times the number of sets that have it (very many: 2^31)."""
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordHashes()
+        for b in chunks(batches, "text"):
+            sets = sets_of(b.column(1).to_pylist(), k, known)
+            node = np.repeat(b.column(0).to_numpy().view(U64), [len(x) for x in sets])
+            yield from _dealt(np.concatenate(sets), node, parts, U64)
+
+    def count(group: pa.Table) -> pa.Table:
+        key, node, times, many = _gathered(group, parts, U64)
+        of = np.repeat(np.where(many, 1 << 31, times), times)
+        one, alone = np.unique(node[of == 1], return_counts=True)
+        more = of > 1
+        none = lambda n: pa.nulls(n, pa.int64())
+        return pa.table([_as_long(np.concatenate([one, node[more]])), pa.concat_arrays([pa.array(alone, pa.int64()), none(more.sum())]), pa.concat_arrays([none(len(one)), _as_long(key[more])]), pa.concat_arrays([none(len(one)), pa.array(of[more], pa.int64())])], ["node", "alone", "shingle", "times"])
+
+    return texts.mapInArrow(write, BLOCK).groupBy("part").applyInArrow(count, "node long, alone long, shingle long, times long")
 
 
 def _pairs(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -319,11 +357,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     of = lambda df, c, *names: df.select(F.col("node").alias(c), *[F.col(f).alias(f"{f}_{c}") for f in names])
 
     def verify(some: DataFrame, name: str) -> DataFrame:
-        """(x, y, d, link) of the pairs that sizes and then parity bits leave open, on their real shingles."""
+        """(x, y, link) of the pairs that sizes and then parity bits leave open, on their real shingles."""
         some = some.where("x <> y").select("x", "y").distinct().join(of(info, "x", "n"), "x").join(of(info, "y", "n"), "y").where(alike_sizes)
         some = some.join(of(texts, "x", "bits", "half"), "x").join(of(texts, "y", "bits", "half"), "y").where(differ <= apart).select("x", "y")
         out = _verify(table(some, f"{name}-pairs"), texts, k)
-        out = out.select("x", "y", (1 - F.col("common") / F.col("either")).alias("d"), (F.col("common") * den >= F.col("either") * num).alias("link"))
+        out = out.select("x", "y", (F.col("common") * den >= F.col("either") * num).alias("link"))
         return table(out.dropDuplicates(["x", "y"]), name)
 
     def stars(some: DataFrame) -> DataFrame:
@@ -333,26 +371,34 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
 
     first = table(stars(members), "stars")
     seen = verify(first.select("x", "y").unionByName(pairs), "verified")
-    # What the pivot doesn't link: a second pivot among those, then all pairs that are still open.
-    told = first.join(seen, ["x", "y"], "left").select("key", F.col("x").alias("node"), F.when(F.col("x") == F.col("y"), F.lit(0.0)).otherwise(F.col("d")).alias("d"), (F.col("x") == F.col("y")).alias("pivot"), F.coalesce("link", F.lit(False)).alias("link"))
+    # What the pivot doesn't link: a second pivot among those, then a join on rare shingles.
+    told = first.join(seen, ["x", "y"], "left").select("key", F.col("x").alias("node"), (F.coalesce("link", F.lit(False)) | (F.col("x") == F.col("y"))).alias("near"))
     told = table(told, "told")
-    away = told.where("NOT pivot AND NOT link")
+    away = told.where("NOT near")
     if away.limit(1).count():
         second = verify(stars(away.select("key", "node")), "verified2")
         seen = seen.unionByName(second)
         comp = connected_components(seen.where("link").select(F.col("x").alias("a"), F.col("y").alias("b")), "first").withColumnRenamed("label", "comp")
-        sized = info.select("node", "n").join(comp, "node", "left").select("node", "n", F.coalesce("comp", "node").alias("comp"))
-
-        def end(df: DataFrame, c: str) -> DataFrame:
-            return df.join(sized, "node").select("key", F.col("node").alias(c), F.col("d").alias(f"d_{c}"), F.col("n").alias(f"n_{c}"), F.col("comp").alias(f"comp_{c}"))
-
-        slack = (den - num) / den + 1e-9
-        near = told.join(away.select("key").distinct(), "key", "left_semi")
-        open_pairs = end(away, "x").join(end(near, "y"), "key").where("x <> y AND comp_x <> comp_y").where(alike_sizes)
-        open_pairs = open_pairs.where(F.expr(f"d_x IS NULL OR d_y IS NULL OR abs(d_x - d_y) <= {slack}D"))
-        open_pairs = table(open_pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct(), "open")
+        sized = table(info.select("node", "n").join(comp, "node", "left").select("node", "n", F.coalesce("comp", "node").alias("comp")), "sized")
+        # Members of keys that hold several components: linked ones share one of the rarest shingles among these nodes.
+        undecided = told.select("key", "node").join(sized, "node").groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key")
+        undecided = table(told.join(undecided.join(away.select("key").distinct(), "key"), "key", "left_semi").select("node").distinct().join(sized, "node"), "undecided")
+        amount = undecided.agg(F.sum("n")).first()[0] or 0
+        counted = table(_frequencies(texts.join(undecided.select("node"), "node", "left_semi").select("node", "text"), k, max(240, amount * 16 // part_bytes)), "frequencies")
+        alone = counted.where("shingle IS NULL").groupBy("node").agg(F.sum("alone").alias("alone"))
+        # Two linked sets have at least ceil(num * n / den) shingles of either in common, and 2 * num / (num + den) of the smaller one's.
+        rest = undecided.join(alone, "node", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+        rest = rest.withColumn("first", F.expr(f"n + 1 - div(n * {num} + {den - 1}, {den})")).withColumn("fewer", F.expr(f"n + 1 - div(2 * n * {num} + {den + num - 1}, {den + num})")).where("alone < first")
+        place = F.row_number().over(Window.partitionBy("node").orderBy("times", "shingle")) - 1 + F.col("alone")
+        listed = counted.where("shingle IS NOT NULL").select("node", "shingle", "times").join(rest, "node").withColumn("at", place).where("at < first")
+        listed = table(listed.select("node", "shingle", "n", "comp", "at", (F.col("at") < F.col("fewer")).alias("fewer")), "rarest")
+        end = lambda df, c: df.select("shingle", F.col("node").alias(c), *[F.col(f).alias(f"{f}_{c}") for f in ("n", "comp", "at")])
+        # What stands behind a pair's first common shingle bounds what they have in common.
+        enough = F.expr(f"least(n_x - at_x, n_y - at_y) * {num + den} >= (n_x + n_y) * {num}")
+        open_pairs = end(listed, "x").join(end(listed.where("fewer"), "y"), "shingle").where("x <> y AND n_y <= n_x AND comp_x <> comp_y").where(alike_sizes & enough)
+        open_pairs = open_pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
         done = seen.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-        seen = seen.unionByName(verify(open_pairs.join(done, ["x", "y"], "left_anti"), "verified3"))
+        seen = seen.unionByName(verify(table(open_pairs.distinct(), "open").join(done, ["x", "y"], "left_anti"), "verified3"))
 
     reps = info.select("node", "rep")
     links = seen.where("link").select("x", "y")
