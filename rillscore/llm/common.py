@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -18,9 +21,11 @@ _own: dict[str, str] = {}
 
 
 def scratch_base(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one only where that is unset (tests on one machine)."""
+    """The shared folder of spark.checkpoint.dir; a temporary one only where that is unset on one machine (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors see")
         base = _own.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="rillscore-"))
     return base.rstrip("/")
 
@@ -48,20 +53,63 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
-def bounded_sample(df: DataFrame, key: str, most: int, *columns: str) -> list:
-    """About `most` rows, at most, with the smallest hashes of the key, in that order: reruns agree.
+def bounded_sample(df: DataFrame, key: str, most: int, *columns: str, groups: tuple[str, dict] | None = None) -> list:
+    """About `most` rows, at most, with the smallest hashes of the key and the columns, in that order: reruns agree.
 
-    The hash's cut is set from the count, so that tasks send what is kept and not their own best `most` rows each.
+    The hash's cut is set from the count, so that tasks send what is kept and not their own best `most` rows each. Equal
+    rows count once. groups = (column, rows of each value): each of these values gets an equal part of `most`, or all its
+    rows. What comes back is bounded in rows; callers bound the columns.
     """
-    n = df.count()
-    share = min(1.0, 1.3 * most / max(1, n) + 30 / max(1, n))
-    h = F.xxhash64(key)
-    rows = df.select(*columns, h.alias("_h")).where(F.col("_h") <= int(min(2**63 - 1, -(2**63) + share * 2**64)))
-    return rows.limit(2 * most + 100).orderBy("_h").collect()[:most]
+    h = F.xxhash64(key, *columns)
+    rows = df.select(*columns, h.alias("_h"))
+    if groups:
+        each = max(1, most // max(1, len(groups[1])))
+        cut = F.coalesce(*[F.when(F.col(groups[0]) == g, F.lit(_cut(each, n))) for g, n in groups[1].items()], F.lit(-(2**63)))
+    else:
+        cut = F.lit(_cut(most, df.count()))
+    some = rows.where(F.col("_h") <= cut).dropDuplicates(["_h"]).limit(2 * most + 100 * (1 + len(groups[1]) if groups else 1)).collect()
+    some.sort(key=lambda r: r["_h"])
+    if not groups:
+        return some[:most]
+    left = dict.fromkeys(groups[1], each)
+    out = []
+    for r in some:
+        if left[r[groups[0]]] > 0:
+            left[r[groups[0]]] -= 1
+            out.append(r)
+    return out
+
+
+def _cut(most: int, n: int) -> int:
+    """Hashes up to this one are those of most * 1.3 + 30 of n rows, about."""
+    share = min(1.0, (1.3 * most + 30) / max(1, n))
+    return int(min(2**63 - 1, -(2**63) + share * 2**64))
+
+
+def tidy(fn: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The function of a mapInArrow, with freed memory given back at the end of a task: workers live on for other tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            release()
+
+    return run
+
+
+def release() -> None:
+    """Give freed memory back to the system: what a fit or a task needed for a moment would else count until the process ends."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def per_text(df: DataFrame, text_col: str, carry: list[str], fields: str, fn: Callable[[list[str | None]], list[pa.Array]]) -> DataFrame:
-    """The columns `carry` of df and new ones that fn makes of the texts, in one narrow pass; names in fields must be new."""
+    """The columns `carry` of df and new ones that fn makes of the texts, in one narrow pass; a carried column may not have a new one's name."""
+    if clash := {c.lower() for c in carry} & {f.split()[0] for f in fields.split(", ")}:
+        raise ValueError(f"columns {sorted(clash)} can't be carried: the result has columns of these names")
     src = df.select(*carry) if text_col in carry else df.select(*carry, text_col)
     at, n = src.columns.index(text_col), len(carry)
     schema = StructType([*src.schema.fields[:n], *StructType.fromDDL(fields).fields])
@@ -70,13 +118,13 @@ def per_text(df: DataFrame, text_col: str, carry: list[str], fields: str, fn: Ca
         for b in chunks(batches, text_col):
             yield pa.RecordBatch.from_arrays([*b.columns[:n], *fn(b.column(at).to_pylist())], schema.names)
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(tidy(run), schema)
 
 
 class WordHashes(dict):
     """64-bit hashes of words, kept while there are at most `most` of them."""
 
-    def __init__(self, most: int = 400_000):
+    def __init__(self, most: int = 150_000):
         super().__init__()
         self.most = most
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillscore.llm.common import WordHashes, chunks, mix, shingle_hashes
+from rillscore.llm.common import WordHashes, chunks, mix, shingle_hashes, tidy
 
 RADIUS, BLOCKS = 23, 8
 WORD = re.compile(r"\w+")
@@ -211,7 +211,7 @@ def _search(src: DataFrame, index, least: float, kinds: list[str]) -> DataFrame:
                 cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_pydict({"id": b.column(0).take(pa.array(at, pa.int64())), "item_id": pa.array(cols[0]), "similarity": pa.array(cols[1], pa.float64()), "first_word": pa.array(cols[2], pa.int64())})
 
-    return src.mapInArrow(run, f"id {kinds[0]}, item_id {kinds[1]}, similarity double, first_word long")
+    return src.mapInArrow(tidy(run), f"id {kinds[0]}, item_id {kinds[1]}, similarity double, first_word long")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = 5, least: float = 0.8, items_at_once: int = 20_000, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -224,5 +224,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, k: int = 5, least: floa
             for b in chunks(batches, text_col):
                 yield b.filter(pa.array([not index.value.found(t, known, least) for t in b.column(text_col).to_pylist()], pa.bool_()))
 
-        docs = docs.mapInArrow(clean, docs.schema)
+        docs = docs.mapInArrow(tidy(clean), docs.schema)
     return docs

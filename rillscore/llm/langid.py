@@ -1,7 +1,7 @@
 """Language identification in two steps: the language family first, then one-versus-one linear SVMs inside it.
 
 Features are hashed byte trigrams of the whole lower-cased text, as a unit vector. The classifiers are trained on the
-driver from a bounded sample of labelled rows (`sample` rows, the smallest by a hash of id); the bound is a parameter.
+driver from a bounded sample of labelled rows (`sample` rows, the smallest by a hash in each language); the bound is a parameter.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillscore.llm.common import bounded_sample, per_text
+from rillscore.llm.common import bounded_sample, per_text, release
 
 DIM = 4096
 #: Families of common language codes; a language that is not listed is a family of its own.
@@ -43,15 +43,19 @@ def has_letters(text: str | None) -> bool:
 
 
 def svm(x: np.ndarray, y: np.ndarray, epochs: int = 60, lam: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Linear SVM (squared hinge, L2) by full-batch descent with momentum; classes weigh the same in total. y is +1 or -1."""
-    w, v = np.zeros(x.shape[1] + 1, np.float64), np.zeros(x.shape[1] + 1, np.float64)
-    each = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
+    """Linear SVM (squared hinge, L2) by full-batch descent with momentum; classes weigh the same in total. y is +1 or -1.
+
+    Single precision throughout, so that no copy of x in another type is made.
+    """
+    y = y.astype(np.float32)
+    w, v = np.zeros(x.shape[1] + 1, np.float32), np.zeros(x.shape[1] + 1, np.float32)
+    each = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
     for _ in range(epochs):
         slack = np.maximum(0, 1 - y * (x @ w[:-1] + w[-1]))
         g = -2 * each * y * slack
-        v = 0.9 * v - 0.5 * (np.append(x.T @ g, g.sum()) + lam * np.append(w[:-1], 0))
+        v = np.float32(0.9) * v - np.float32(0.5) * (np.append(g @ x, g.sum()) + np.float32(lam) * np.append(w[:-1], np.float32(0)))
         w = w + v
-    return w[:-1].astype(np.float32), float(w[-1])
+    return w[:-1], float(w[-1])
 
 
 def scale(margin: np.ndarray, y: np.ndarray) -> float:
@@ -76,14 +80,17 @@ class Hierarchy:
         known = sorted(set(langs))
         of = {lang: next((f for f, ls in FAMILIES.items() if lang in ls), f"other:{lang}") for lang in known}
         families = [(f, [x for x in known if of[x] == f]) for f in sorted(set(of.values()))]
-        x = np.stack([features(t) for t in texts]) if texts else np.zeros((0, DIM), np.float32)
+        x = np.zeros((len(texts), DIM), np.float32)
+        for row, t in zip(x, texts, strict=True):
+            row[:] = features(t)
         lang = np.array(langs, object)
         fam = np.array([of[z] for z in langs], object)
         planes, family_rows, pair_rows = [], [], {}
 
         def plane(rows: np.ndarray, y: np.ndarray) -> int:
-            w, b = svm(x[rows], y)
-            planes.append((w, b, scale(x[rows] @ w + b, y)))
+            some = x if len(rows) == len(x) else x[rows]
+            w, b = svm(some, y)
+            planes.append((w, b, scale(some @ w + b, y)))
             return len(planes) - 1
 
         if len(families) > 1:
@@ -118,16 +125,21 @@ class Hierarchy:
         return best, top * votes[best] / (len(ls) - 1)
 
 
-def fit_language_id(df: DataFrame, learn: Column, sample: int = 3000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Hierarchy:
-    """Fit on at most `sample` rows where `learn` holds, lang is not null and the text has a letter.
+def fit_language_id(df: DataFrame, learn: Column, sample: int = 3000, longest: int = 200_000, languages: int = 100, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Hierarchy:
+    """Fit on about `sample` rows where `learn` holds, lang is not null and the text has a letter and at most `longest` characters.
 
-    The rows are those with the smallest hashes of their id, so reruns agree. Without such rows every prediction is `und`.
-    The whole texts come to the driver: 3,000 rows of any input size.
+    The rows are those with the smallest hashes of their id and text, so reruns agree. Each language has an equal part of
+    the sample or all of its rows, so a language with few documents is learnt too; beyond the `languages` most
+    frequent ones no language is. Without such rows every prediction is `und`. Only the
+    sample comes to the driver.
     """
-    good = df.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike("\\p{L}"))
+    good = df.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike("\\p{L}") & (F.length(text_col) <= longest))
     good = good.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    rows = sorted(bounded_sample(good, "id", sample, "text", "lang"), key=lambda r: (r._h, r.text))
-    return Hierarchy.fit([r.text for r in rows], [r.lang for r in rows])
+    langs = {r.lang: r.n for r in good.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()}
+    rows = bounded_sample(good, "id", sample, "text", "lang", groups=("lang", langs))
+    model = Hierarchy.fit([r.text for r in rows], [r.lang for r in rows])
+    release()
+    return model
 
 
 def identify_language(df: DataFrame, model: Hierarchy, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillscore.llm.common import WordHashes, chunks, mix, shingle_hashes, table, words_of
+from rillscore.llm.common import WordHashes, chunks, mix, release, shingle_hashes, table, tidy, words_of
 from rillscore.llm.components import connected_components
 
 U64 = np.uint64
@@ -184,7 +184,7 @@ def _sets_table(src: DataFrame, k: int, num: int, den: int) -> DataFrame:
             cost = np.bincount(which, weights=key_counts(n[which], band, num, den), minlength=len(n)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), _as_long(node), pa.array(n), pa.array(cost)], ["id", "node", "n", "n_keys"])
 
-    return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, node long, n long, n_keys long")
+    return src.mapInArrow(tidy(run), f"id {src.schema['id'].dataType.simpleString()}, node long, n long, n_keys long")
 
 
 BLOCK = "part long, keys binary, nodes binary, hot boolean"
@@ -224,6 +224,8 @@ def _dealt(key: np.ndarray, node: np.ndarray, parts: int, kind: type, hot: int =
 def _gathered(group: pa.Table, parts: int, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of a group's blocks: the distinct (key, node) in order, and of each key how many nodes are here and whether there are more."""
     part = group.column("part")[0].as_py()
+    if part % 8 == 0:
+        release()  # of the groups before, now and then
     kind = U64 if part >= parts else kind
     keys, nodes = ([np.frombuffer(x, t) for x in group.column(c).to_pylist()] for c, t in (("keys", kind), ("nodes", U64)))
     flag = np.repeat(group.column("hot").to_numpy(), list(map(len, keys)))
@@ -269,7 +271,7 @@ def _shared_keys(src: DataFrame, k: int, num: int, den: int, parts: int) -> Data
         none = lambda n: pa.nulls(n, pa.int64())
         return pa.table([pa.concat_arrays([none(len(x)), _as_long(key[member])]), _as_long(np.concatenate([x, node[member]])), pa.concat_arrays([_as_long(y), none(member.sum())])], ["key", "x", "y"])
 
-    return src.mapInArrow(write, BLOCK).groupBy("part").applyInArrow(shared, "key long, x long, y long")
+    return src.mapInArrow(tidy(write), BLOCK).groupBy("part").applyInArrow(shared, "key long, x long, y long")
 
 
 def _frequencies(texts: DataFrame, k: int, parts: int) -> DataFrame:
@@ -291,7 +293,7 @@ def _frequencies(texts: DataFrame, k: int, parts: int) -> DataFrame:
         none = lambda n: pa.nulls(n, pa.int64())
         return pa.table([_as_long(np.concatenate([one, node[more]])), pa.concat_arrays([pa.array(alone, pa.int64()), none(more.sum())]), pa.concat_arrays([none(len(one)), _as_long(key[more])]), pa.concat_arrays([none(len(one)), pa.array(of[more], pa.int64())])], ["node", "alone", "shingle", "times"])
 
-    return texts.mapInArrow(write, BLOCK).groupBy("part").applyInArrow(count, "node long, alone long, shingle long, times long")
+    return texts.mapInArrow(tidy(write), BLOCK).groupBy("part").applyInArrow(count, "node long, alone long, shingle long, times long")
 
 
 def _pairs(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -324,7 +326,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, k: int) -> DataFrame:
 
     with_x = pairs.join(texts.select(F.col("node").alias("x"), F.col("text").alias("text_x")), "x")
     both = with_x.join(texts.select(F.col("node").alias("y"), F.col("text").alias("text_y")), "y").select("x", "y", "text_x", "text_y")
-    return both.mapInArrow(run, "x long, y long, common long, either long")
+    return both.mapInArrow(tidy(run), "x long, y long, common long, either long")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id", text_col: str = "text", part_bytes: int = 16 << 20) -> DataFrame:
@@ -438,4 +440,4 @@ def _texts(src: DataFrame, reps: DataFrame, k: int) -> DataFrame:
             rows = b.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays([rows.column(1), rows.column(2), *(pa.array(x, pa.list_(pa.int64())) for x in (whole, half))], ["node", "text", "bits", "half"])
 
-    return src.join(reps.hint("merge"), "id").select("id", "node", "text").mapInArrow(run, "node long, text string, bits array<long>, half array<long>")
+    return src.join(reps.hint("merge"), "id").select("id", "node", "text").mapInArrow(tidy(run), "node long, text string, bits array<long>, half array<long>")

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillscore.llm.common import bounded_sample, per_text
+from rillscore.llm.common import bounded_sample, per_text, release
 
 BITS, WIDTH, WINDOW, RATE = 16, 6, 16, 0.5
 BUCKETS = 1 << BITS
@@ -134,9 +134,9 @@ class SubwordSoftmax:
         return cls((emb @ (head[1] - head[0])).astype(np.float32), float(b[1] - b[0]))
 
     def learn_words(self, words: set[str]) -> None:
-        """Give each new word its share of the logit; what is kept stays below 600,000 words."""
+        """Give each new word its share of the logit; what is kept stays below 250,000 words, or those of one piece of text."""
         new = [w for w in words if w not in self.kept]
-        if len(self.kept) + len(new) > 600_000:
+        if len(self.kept) + len(new) > 250_000:
             self.kept.clear()
             new = list(words)
         for a in range(0, len(new), 1 << 16):
@@ -158,10 +158,10 @@ class SubwordSoftmax:
         return (1 / (1 + np.exp(-np.clip(out, -60, 60)))).tolist()
 
 
-def fit_toxicity(df: DataFrame, labels: DataFrame, learn: Column, sample: int = 1200, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> SubwordSoftmax:
+def fit_toxicity(df: DataFrame, labels: DataFrame, learn: Column, sample: int = 1200, longest: int = 200_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> SubwordSoftmax:
     """Fit on at most `sample` labelled rows of each label where `learn` holds: those with the smallest hashes of the id.
 
-    Null labels and null texts are no examples; without examples of both labels the score is a constant. An id that is
+    Null labels, null texts and texts of more than `longest` characters are no examples; without examples of both labels the score is a constant. An id that is
     labelled twice counts once, as toxic if any row says so. The labels are joined by id; only the bounded sample comes
     to the driver.
     """
@@ -170,8 +170,10 @@ def fit_toxicity(df: DataFrame, labels: DataFrame, learn: Column, sample: int =
     chosen = [(r._id, r._y, r._h) for y in (0, 1) for r in bounded_sample(marks.where(F.col("_y") == y), "_id", sample, "_id", "_y")]
     ids = df.sparkSession.createDataFrame(chosen, marks.withColumn("_h", F.lit(0).cast("long")).schema)
     picked = F.broadcast(ids)  # at most 2 * sample rows, whatever the input
-    rows = df.select(key.alias("_id"), F.col(text_col).cast("string").alias("_t")).where("_t IS NOT NULL").join(picked, "_id").select("_t", "_y", "_h").dropDuplicates(["_h", "_t"]).orderBy("_h", "_t").limit(2 * sample).collect()
-    return SubwordSoftmax.fit([r._t for r in rows], [r._y for r in rows])
+    rows = df.select(key.alias("_id"), F.col(text_col).cast("string").alias("_t")).where(F.length("_t") <= longest).join(picked, "_id").select("_t", "_y", "_h").dropDuplicates(["_h", "_t"]).orderBy("_h", "_t").limit(2 * sample).collect()
+    model = SubwordSoftmax.fit([r._t for r in rows], [r._y for r in rows])
+    release()
+    return model
 
 
 def score_toxicity(df: DataFrame, model: SubwordSoftmax, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
