@@ -22,6 +22,10 @@ TURNS = {
     ("user", "assistant"): "assistant",
     ("assistant", "user"): "user",
 }
+#: States in which a valid conversation may end.
+ENDS = ("user", "assistant")
+#: A turn out of order leads to the broken state of its role, from which no turn leads back.
+BROKEN = "!"
 
 
 def controls(template: dict) -> list[str]:
@@ -45,25 +49,41 @@ def unescape(text: Column, template: dict) -> Column:
 def format_chats(turns: DataFrame, template: dict = TEMPLATE, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """Per conversation: id, n_turns, valid (the machine accepts its roles), segments array<struct<text, loss>>.
 
-    The formatted text is the segments' texts in order. Null texts and null roles are empty strings; a role without a
-    mark is written out, and no such conversation is valid. Turns go by number, ties by role and text, null numbers
-    first; repeated rows are turns of their own. Rows of a null id are one conversation. An empty table gives none.
-    Escaping happens before the shuffle; a conversation's turns then meet in one row, as its digest needs the whole of
-    it, so memory is bounded by the longest conversation and not by how many there are.
+    The machine goes from state to state by the turns' roles; the state that a turn leads to decides its marks and whether
+    its text is under the loss. A turn out of order is marked like others (so it can be read back), but from there on the
+    states are broken and the conversation is not valid. The formatted text is the segments' texts in order. Null texts
+    and null roles are empty strings; a role without a mark is written out, and no such conversation is valid. Turns go
+    by number, ties by role and text, null numbers first; repeated rows are turns of their own. Rows of a null id are one
+    conversation. An empty table gives none. A conversation's turns meet in one row, as its digest needs the whole of it,
+    so memory is bounded by the longest conversation and not by how many there are.
     """
     if any(len(c) < 2 or any(d[0] in c[1:] for d in controls(template)) for c in controls(template)):
         raise ValueError("a mark's first character must not occur inside any mark, or marks could form across a text's ends")
     role, text = F.coalesce(F.col(role_col).cast("string"), F.lit("")), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    start, end, loss = F.concat(F.lit(ROLE[0]), escape(role, template), F.lit(ROLE[1])), F.lit(ROLE[2]), F.lit(False)
-    for name, (a, z, under) in template.items():
-        start, end, loss = F.when(role == name, F.lit(a)).otherwise(start), F.when(role == name, F.lit(z)).otherwise(end), F.when(role == name, F.lit(under)).otherwise(loss)
-    marked = turns.select(F.col(conv_col).alias("conv"), F.struct(F.col(turn_col).alias("turn"), role.alias("role"), text.alias("plain"), start.alias("a"), escape(text, template).alias("text"), end.alias("z"), loss.alias("loss")).alias("t"))
-    whole = marked.groupBy("conv").agg(F.array_sort(F.collect_list("t")).alias("ts"))
-    step = F.create_map(*[F.lit(x) for (s, r), t in TURNS.items() for x in (f"{s}>{r}", t)])
-    state = F.aggregate("ts", F.lit("start"), lambda s, t: F.coalesce(step[F.concat(s, F.lit(">"), t["role"])], F.lit("bad")))
+    whole = turns.select(F.col(conv_col).alias("conv"), F.struct(F.col(turn_col).alias("turn"), role.alias("role"), text.alias("text")).alias("t")).groupBy("conv").agg(F.array_sort(F.collect_list("t")).alias("ts"))
+    segments = F.flatten(F.zip_with("ts", F.slice(states(F.col("ts"), template), F.lit(2), F.size("ts")), lambda t, s: turn_segments(t, s, template)))
+    last = F.element_at(states(F.col("ts"), template), -1)
+    return whole.select(F.col("conv").alias(conv_col), F.size("ts").cast("long").alias("n_turns"), last.isin(*ENDS).alias("valid"), segments.alias("segments"))
+
+
+def states(turns: Column, template: dict) -> Column:
+    """The machine's states: start, and the state after each turn. A state is a role of the template or "" for any other, broken or not."""
+    step = F.create_map(*[F.lit(x) for (state, role), to in TURNS.items() for x in (f"{state}>{role}", to)])
+
+    def follow(path: Column, turn: Column) -> Column:
+        broken = F.concat(F.when(turn["role"].isin(*template), turn["role"]).otherwise(""), F.lit(BROKEN))
+        return F.array_append(path, F.coalesce(step[F.concat(F.element_at(path, -1), F.lit(">"), turn["role"])], broken))
+
+    return F.aggregate(turns, F.array(F.lit("start")), follow)
+
+
+def turn_segments(turn: Column, state: Column, template: dict) -> Column:
+    """Opening mark, escaped text, closing mark of a turn in a state of the machine: array<struct<text, loss>>."""
+    told = F.create_map(*[x for name, (a, z, loss) in template.items() for s in (name, name + BROKEN) for x in (F.lit(s), F.struct(F.lit(a).alias("a"), F.lit(z).alias("z"), F.lit(loss).alias("loss")))])
+    other = F.struct(F.concat(F.lit(ROLE[0]), escape(turn["role"], template), F.lit(ROLE[1])).alias("a"), F.lit(ROLE[2]).alias("z"), F.lit(False).alias("loss"))
     part = lambda text, loss: F.struct(text.alias("text"), loss.alias("loss"))
-    segments = F.flatten(F.transform("ts", lambda t: F.array(part(t["a"], F.lit(False)), part(t["text"], t["loss"]), part(t["z"], F.lit(False)))))
-    return whole.select(F.col("conv").alias(conv_col), F.size("ts").cast("long").alias("n_turns"), (~state.isin("bad", "start", "system")).alias("valid"), segments.alias("segments"))
+    # The marks are bound once: as an element of an array that is transformed.
+    return F.flatten(F.transform(F.array(F.coalesce(told[state], other)), lambda m: F.array(part(m["a"], F.lit(False)), part(escape(turn["text"], template), m["loss"]), part(m["z"], F.lit(False)))))
 
 
 def read_chats(formatted: Column, template: dict = TEMPLATE) -> Column:
@@ -79,11 +99,11 @@ def digests(chats: DataFrame, template: dict = TEMPLATE, conv_col: str = "conv_i
     """What a reader of the formatted conversations finds: turns, and the text under the loss mask, as SHA-256."""
     text = F.array_join(F.transform("segments", lambda s: s["text"]), "")
     loss = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescape(s["text"], template)), "")
-    read = chats.select(conv_col, text.alias("formatted"), loss.alias("under_loss")).withColumn("turns", read_chats(F.col("formatted"), template))
+    read = chats.select(conv_col, "valid", text.alias("formatted"), loss.alias("under_loss")).withColumn("turns", read_chats(F.col("formatted"), template))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
         conv_col, F.size("turns").cast("long").alias("n_turns"), F.sha2(told.cast("binary"), 256).alias("turns_sha256"), F.length("under_loss").cast("long").alias("loss_chars"), F.sha2(F.col("under_loss").cast("binary"), 256).alias("loss_sha256"),
-        F.length("formatted").cast("long").alias("formatted_chars"),
+        F.length("formatted").cast("long").alias("formatted_chars"), "valid",
     )
 
 
@@ -96,14 +116,17 @@ def _sql_escaped(text: str) -> str:
 
 def oracle() -> str:
     marks = " ".join(f"WHEN '{name}' THEN {len(a) + len(z)}" for name, (a, z, _) in TEMPLATE.items())
+    allowed = ", ".join(f"('{state}', '{role}')" for state, role in TURNS)
     return f"""
     WITH c AS (
       SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-      UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]'))
+      UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+    d AS (SELECT *, lag(role, 1, 'start') OVER w AS before, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) AS from_end FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
     SELECT conv_id, count(*) AS n_turns,
            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-           sum(length({_sql_escaped("text")}) + CASE role {marks} ELSE {sum(map(len, ROLE))} + length({_sql_escaped("role")}) END)::BIGINT AS formatted_chars
-    FROM c GROUP BY conv_id
+           sum(length({_sql_escaped("text")}) + CASE role {marks} ELSE {sum(map(len, ROLE))} + length({_sql_escaped("role")}) END)::BIGINT AS formatted_chars,
+           bool_and((before, role) IN ({allowed})) AND bool_or(from_end = 1 AND role IN {ENDS}) AS valid
+    FROM d GROUP BY conv_id
     """
