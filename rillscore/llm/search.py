@@ -1,9 +1,10 @@
 """Approximate nearest neighbours by inner product: a hierarchical k-means tree, searched best bin first.
 
 The tree is fitted on a bounded sample (`sample` vectors); every vector is then put into a leaf. A query walks the tree
-with a priority queue over the inner products with the bins' centres and visits leaves in that order. How many it visits
-is calibrated: for some of the queries the exact neighbours among all rows are found in blocks, and visits are widened
-until the leaves hold the wanted share of them.
+with a priority queue over the inner products with the bins' centres, raised by a share of what the bins' radius could add,
+and visits leaves in that order. How many it visits is calibrated: for some of the queries the exact neighbours among all
+rows are found in blocks, and visits are widened until the leaves hold the wanted share of them. A query goes on beyond
+that until its leaves hold more rows than it wants.
 """
 
 from __future__ import annotations
@@ -18,21 +19,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillscore.llm.common import bounded_sample, table
+from rillscore.llm.common import bounded_sample, table, tidy
+
+
+#: How much of a bin's radius counts for it; the whole radius would be an upper bound that hardly any vector reaches.
+REACH = 0.25
 
 
 @dataclass
 class KMeansTree:
-    """Inner nodes hold their children's centres; children are node numbers, leaves are ~number of the leaf."""
+    """Inner nodes hold their children's centres and radii (root mean square); children are node numbers, leaves are ~number of the leaf."""
 
     centers: list[np.ndarray]
+    radii: list[np.ndarray]
     children: list[list[int]]
     leaves: int
 
     @classmethod
     def fit(cls, x: np.ndarray, branch: int, leaf_rows: int, seed: int = 11) -> KMeansTree:
         rng = np.random.default_rng(seed)
-        tree = cls([], [], 0)
+        tree = cls([], [], [], 0)
 
         def grow(rows: np.ndarray) -> int:
             part = x[rows]
@@ -47,6 +53,7 @@ class KMeansTree:
                 return ~(tree.leaves - 1)
             me = len(tree.centers)
             tree.centers.append(c[used])
+            tree.radii.append(np.array([np.sqrt(((part[to == u] - c[u]) ** 2).sum(1).mean()) for u in used]))
             tree.children.append([])
             tree.children[me] = [grow(rows[to == u]) for u in used]
             return me
@@ -69,17 +76,18 @@ class KMeansTree:
                     todo.append((child, some))
         return out
 
-    def visit(self, q: np.ndarray, most: int) -> list[int]:
-        """Up to `most` leaves, best bin first."""
+    def visit(self, q: np.ndarray, most: int, rows: np.ndarray | None = None, least: int = 0) -> list[int]:
+        """`most` leaves, best bin first, and more until they hold `least` rows (rows: how many each leaf has)."""
         if not self.centers:
             return [0]
-        found, heap = [], [(0.0, 0)]
-        while heap and len(found) < most:
+        found, heap, held, reach = [], [(0.0, 0)], 0, REACH * float(np.sqrt(q @ q))
+        while heap and (len(found) < most or held < least):
             _, node = heapq.heappop(heap)
             if node < 0:
                 found.append(~node)
+                held += 0 if rows is None else int(rows[~node])
                 continue
-            for near, child in zip((self.centers[node] @ q).tolist(), self.children[node], strict=True):
+            for near, child in zip((self.centers[node] @ q + reach * self.radii[node]).tolist(), self.children[node], strict=True):
                 heapq.heappush(heap, (-near, child))
         return found
 
@@ -155,7 +163,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.
             if b.num_rows:
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(tree.assign(matrix(b.column(2))), pa.int32())], ["vec_id", "is_query", "v", "leaf"])
 
-    indexed = table(src.mapInArrow(leaf, "vec_id long, is_query boolean, v array<double>, leaf int"), "indexed")
+    indexed = table(src.mapInArrow(tidy(leaf), "vec_id long, is_query boolean, v array<double>, leaf int"), "indexed")
     counts = {r.leaf: r.n for r in indexed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}  # a row per leaf: at most 2 * sample / leaf_rows
     queries = indexed.where("is_query")
 
@@ -172,13 +180,15 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.
                 at = dict(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True))
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(i, pa.int64()), pa.array(s, pa.float64()), pa.array([at[x] for x in i.tolist()], pa.int32())], ["query_id", "vec_id", "score", "leaf"])
 
-    truth = _top(indexed.select("vec_id", "v", "leaf").mapInArrow(exact, "query_id long, vec_id long, score double, leaf int"), k).select("query_id", "leaf").collect()
+    truth = _top(indexed.select("vec_id", "v", "leaf").mapInArrow(tidy(exact), "query_id long, vec_id long, score double, leaf int"), k).select("query_id", "leaf").collect()
     order = {i: {x: p for p, x in enumerate(tree.visit(v, tree.leaves))} for i, v in zip(qid.tolist(), q, strict=True)}
     needed = np.sort([order[r.query_id][r.leaf] + 1 for r in truth])
     visits = int(needed[min(len(needed) - 1, math.ceil(recall * len(needed)) - 1)]) if len(needed) else tree.leaves
 
     # Blocks: a leaf's vectors in v_blocks, its queries in q_blocks, each pair of blocks a group of bounded size.
     n_queries = sum(1 for _ in some) if len(some) < calibrate else queries.count()
+    rows = np.array([counts.get(x, 0) for x in range(tree.leaves)], np.int64)
+    repeats = queries.groupBy("vec_id").count().agg(F.max("count")).first()[0]  # a query's own rows are no candidates
     v_blocks = [max(1, math.ceil(counts.get(x, 0) / block)) for x in range(tree.leaves)]
     q_blocks = max(1, math.ceil(n_queries * visits / max(1, tree.leaves) / block))
     blocks_of = F.element_at(F.array(*map(F.lit, v_blocks)), F.col("leaf") + 1)
@@ -188,9 +198,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array([tree.visit(v, visits) for v in matrix(b.column(1))], pa.list_(pa.int32()))], ["vec_id", "v", "leaves"])
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array([tree.visit(v, visits, rows, k + repeats) for v in matrix(b.column(1))], pa.list_(pa.int32()))], ["vec_id", "v", "leaves"])
 
-    right = queries.select("vec_id", "v").repartition("vec_id").mapInArrow(walk, "vec_id long, v array<double>, leaves array<int>")
+    # A number of partitions of its own, else they would be put together by the size of what they read, not of what they make.
+    walkers = max(spark.sparkContext.defaultParallelism, math.ceil(n_queries / 2000))
+    right = queries.select("vec_id", "v").repartition(walkers, "vec_id").mapInArrow(tidy(walk), "vec_id long, v array<double>, leaves array<int>")
     right = right.select("vec_id", "v", F.explode("leaves").alias("leaf")).withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(q_blocks)).cast("int"))
     right = right.withColumn("vb", F.explode(F.sequence(F.lit(0), blocks_of - 1)))
 
