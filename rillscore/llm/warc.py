@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillscore.llm.common import bounded_sample, scratch_path, table
+from rillscore.llm.common import bounded_sample, scratch_path, table, tidy
 
 DICT_FRAME = 0x184D2A5D  # skippable frame that holds the dictionary
 DICT_MAGIC, ZSTD_MAGIC = b"\x37\xa4\x30\xec", b"\x28\xb5\x2f\xfd"
@@ -136,8 +136,9 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, most: int
     both = src.select("page_id", F.lit(1).alias("kind"), "sha", none.cast("long").alias("first"), "url", "html").unionByName(again.select("page_id", F.lit(0).alias("kind"), "sha", "first", none.cast("string").alias("url"), none.cast("binary").alias("html")))
     both = both.withColumn("key", F.coalesce("page_id", F.xxhash64("sha")))
     dealt = both.repartition("key").sortWithinPartitions("key", "page_id", "kind", "sha").select("page_id", "kind", "sha", "first", "url", "html")
-    sample = bounded_sample(src, "page_id", dictionary_samples, "html")
-    dictionary = train_dictionary([bytes(r.html)[: 64 << 10] for r in sample if r.html])
+    # The dictionary is trained on the beginnings of some pages; it decides how well records compress, never what they hold.
+    sample = bounded_sample(src.select("page_id", F.substring("html", 1, 64 << 10).alias("html")), "page_id", dictionary_samples, "html")
+    dictionary = train_dictionary([bytes(r.html) for r in sample if r.html])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = zstandard.ZstdCompressor(level=3, write_content_size=True, **({"dict_data": zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_FULLDICT if dictionary[:4] == DICT_MAGIC else zstandard.DICT_TYPE_RAWCONTENT)} if dictionary else {}))
@@ -170,11 +171,11 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, most: int
         finish()
         yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], pa.string()), pa.array([d[1] for d in done], pa.int64()), pa.array([d[2] for d in done], pa.int64())], ["path", "records", "bytes"])
 
-    return table(dealt.mapInArrow(write, "path string, records long, bytes long"), "archives")
+    return table(dealt.mapInArrow(tidy(write), "path string, records long, bytes long"), "archives")
 
 
-def read_archives(archives: DataFrame, payloads: bool = False) -> DataFrame:
-    """(path) -> page_id, url, record_type, payload_bytes, payload_digest, refers_to and, if asked for, the payload.
+def read_archives(archives: DataFrame, payloads: bool = False, task_bytes: int = 64 << 20) -> DataFrame:
+    """(path, and bytes if known) -> page_id, url, record_type, payload_bytes, payload_digest, refers_to and, if asked for, the payload.
 
     Archives are dealt to tasks by path and streamed. A damaged archive raises ValueError. payload is null for revisits.
     """
@@ -205,7 +206,11 @@ def read_archives(archives: DataFrame, payloads: bool = False) -> DataFrame:
 
     schema = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long" + ", payload binary" * payloads
     names = [x.split()[0] for x in schema.split(", ")]
-    return archives.select("path").repartition("path").mapInArrow(read, schema)
+    # As many partitions as archives need by their bytes (or a file each, where these are not known): paths alone are tiny.
+    size = F.sum("bytes") if "bytes" in archives.columns else F.lit(None)
+    n, total = archives.agg(F.count("*"), size.cast("long")).first()
+    parts = n if total is None else min(n, max(archives.sparkSession.sparkContext.defaultParallelism, -(-total // task_bytes)))
+    return archives.select("path").repartition(max(1, parts), "path").mapInArrow(tidy(read), schema)
 
 
 def round_trip(pages: DataFrame, payloads: bool = False, **options) -> DataFrame:
