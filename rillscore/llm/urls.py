@@ -94,7 +94,7 @@ def resolved(url: Column, to: Column) -> Column:
 
     Targets with a scheme or a host stay as they are; the paths of others lose their `.` and `..` segments.
     """
-    url = _node(url)
+    url = F.regexp_replace(url, "(?s)#.*$", "")
     origin = F.regexp_extract(url, "^[^/?#]*://[^/?#]*", 0)
     path = F.regexp_extract(url, "^[^/?#]*://[^/?#]*([^?#]*)", 1)
     own, rest = F.regexp_extract(to, "^[^?#]*", 0), F.regexp_extract(to, "(?s)^[^?#]*(.*)$", 1)
@@ -112,15 +112,15 @@ def resolved(url: Column, to: Column) -> Column:
 
 
 def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(a, b): url and canonical link or refresh target, without fragments.
+    """(a, b): url and the target of each canonical link and refresh, without fragments, as `_node` writes them.
 
     Character references in targets are decoded. Relative targets are resolved against the page's `<base href>`, itself
     resolved against the url, or else against the url.
     """
     html = F.coalesce(F.col(html_col).cast("string"), F.lit(""))
-    refresh = F.regexp_extract(F.regexp_extract(html, REFRESH, 0), TO, 1)
-    to = F.array(F.regexp_extract(F.regexp_extract(html, LINK, 0), HREF, 1), refresh)
-    found = pages.select(F.col(url_col).cast("string").alias("url"), F.regexp_extract(F.regexp_extract(html, BASE, 0), HREF, 1).alias("base"), F.posexplode(to).alias("at", "to")).where("to <> '' AND url IS NOT NULL")
+    named = lambda element, target, at: F.transform(F.regexp_extract_all(html, F.lit(element), 0), lambda e: F.struct(F.lit(at).alias("at"), F.regexp_extract(e, target, 1).alias("to")))
+    found = pages.select(F.col(url_col).cast("string").alias("url"), F.regexp_extract(F.regexp_extract(html, BASE, 0), HREF, 1).alias("base"), F.explode(F.concat(named(LINK, HREF, 0), named(REFRESH, TO, 1))).alias("e"))
+    found = found.select("url", "base", "e.at", "e.to").where("to <> '' AND url IS NOT NULL")
     # Each step is generated, so that the optimizer does not write one step's expression into every use by the next.
     step = lambda c, name: F.explode(F.array(c)).alias(name)
     found = found.select("url", "at", step(F.transform(F.array("base", "to"), decoded), "d"))
@@ -135,7 +135,12 @@ def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html")
 
 
 def _node(url: Column) -> Column:
-    return F.regexp_replace(url, "(?s)#.*$", "")
+    """The url as a vertex: without fragment, scheme and host in lower case (A-Z), an empty path as `/`."""
+    url = F.regexp_replace(url, "(?s)#.*$", "")
+    front = F.regexp_extract(url, "^[^/?#]*://[^/?#]*", 0)
+    rest = F.substr(url, F.length(front) + 1)
+    lower = F.translate(front, string.ascii_uppercase, string.ascii_lowercase)
+    return F.when(front == "", url).otherwise(F.concat(lower, F.when(rest.startswith("/"), "").otherwise("/"), rest))
 
 
 def filter_urls(pages: DataFrame, rules: list[tuple[str, str, str]] | DataFrame = RULES, redirects: DataFrame | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
