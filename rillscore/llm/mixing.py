@@ -69,15 +69,15 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), passes: i
     queue = table(queue, "queue")
 
     finish = F.transform(F.sequence(F.lit(0), F.lit(passes - 1)), lambda e: (e * F.col("source_size") + F.col("cum")).cast("double") / F.when(F.col("target") > 0, F.col("target")))
-    cut = _cut(queue.where("size > 0 AND target > 0").select(F.explode(finish).alias("v"), "size"), targets)
+    cut = _cut(passes, queue.where("size > 0 AND target > 0").select(F.explode(finish).alias("v"), "size"), targets)
     repeats = F.size(F.filter(finish, lambda v: v <= F.lit(cut)))
     taken = F.when((F.col("size") > 0) & (F.col("target") > 0), F.col("size") * repeats).otherwise(F.lit(0)).cast("long")
     return queue.select(F.col("id").alias(id_col), "size", "source_size", "target", taken.alias("taken"))
 
 
-def _cut(repeats: DataFrame, targets: DataFrame, ranges: int = 1024, few: int = 5000) -> float:
+def _cut(passes: int, repeats: DataFrame, targets: DataFrame, ranges: int = 1024, few: int = 5000) -> float:
     """The latest finish time v such that all repeats up to v fit the budget; at most a few thousand sums come back."""
-    top = targets.agg(F.sum("source_size").alias("budget"), F.max(3 * F.col("source_size") / F.when(F.col("target") > 0, F.col("target"))).alias("v")).first()
+    top = targets.agg(F.sum("source_size").alias("budget"), F.max(passes * F.col("source_size") / F.when(F.col("target") > 0, F.col("target"))).alias("v")).first()
     if not top.budget:
         return 0.0
     low, high, spent = 0.0, top.v * 1.000001, 0
