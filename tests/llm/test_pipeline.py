@@ -43,6 +43,29 @@ def test_stages(spark, tmp_path):
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def test_run(spark, tmp_path):
+    """run() is its stages one after the other."""
+    want = spark.read.parquet(f"{SF}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        want = stage(spark, want, SF)
+    assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_empty_tables_and_more_columns(spark, docs, tmp_path):
+    """Without documents nothing comes out; without labels and items nothing is toxic or leaked; other columns do not matter."""
+    docs = docs.selectExpr("*", "length(text) AS n_chars")
+    for name, df in (("documents", docs), ("labels", spark.createDataFrame([], "doc_id long, toxic int")), ("benchmark", spark.createDataFrame([], "item_id long, text string"))):
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.toxicity(spark, docs, str(tmp_path)).count() == docs.count()
+    assert corpus_pipeline.benchmark(spark, docs, str(tmp_path)).count() == docs.count()
+    rows = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert rows and {r.doc_id for r in rows} <= {r.doc_id for r in docs.collect()}
+    docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{tmp_path}/{name}.parquet").write.parquet(f"{tmp_path}/none/{name}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
 def test_repeated_rows_and_nulls(spark, docs):
     docs = docs.select("doc_id", "text", "lang", "source").selectExpr("*", "length(text) AS n_chars")
     left = sorted((r.doc_id is None, r.doc_id or 0) for r in corpus_pipeline.near_duplicate(spark, docs, SF).collect())

@@ -48,6 +48,13 @@ def test_mixing_awkward_rows(spark, docs, tmp_path):
     assert [r.taken for r in mixing.mix_sources(docs.where("doc_id IN (4, 5, 6)")).collect()] == [0, 0, 0]
 
 
+def test_more_passes(spark):
+    df = spark.range(300).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 7 + 1).cast("int")).alias("text"), F.when(F.col("id") < 280, "a").otherwise("b").alias("source"))
+    got = mixing.mix_sources(df, weights=(1, 9), passes=6).join(df.select("doc_id", "source"), "doc_id").collect()
+    b = [r for r in got if r.source == "b"]
+    assert all(r.taken <= 6 * r["size"] for r in got) and abs(sum(r.taken for r in b) - b[0].target) <= 7 and b[0].target == 6 * b[0].source_size
+
+
 def test_targets_stop_at_three_times_the_source(spark):
     sizes = [("a", 1000), ("b", 10), ("c", 10), ("d", 0), (None, 500)]
     got = {r.source: (r.w, r.target) for r in mixing.source_targets(spark.createDataFrame(sizes, "source string, source_size long")).collect()}
@@ -71,6 +78,9 @@ def test_chat_round_trip(spark):
         (None, None, "user", ""), (4, 0, "system", "s"), (4, 1, "user", "u"), (4, 2, "assistant", "a " * 50_000), (4, 3, "user", "[INST"), (5, 0, "user", "]"), (5, 0, "user", "]"),
     ]
     df = spark.createDataFrame(data, "conv_id long, turn long, role string, text string").withColumn("ts", F.lit(1)).withColumn("segments", F.lit(2))
+    many = spark.range(3000).selectExpr("9L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "cast(id AS string) AS text")
+    long = chat.digests(chat.format_chats(many)).first()
+    assert long.n_turns == 3000 and long.valid and long.loss_chars == sum(len(str(i)) for i in range(1, 3000, 2))
     chats = chat.format_chats(df)
     text = F.array_join(F.transform("segments", lambda s: s["text"]), "")
     got = {r.conv_id: [(t.role, t.text) for t in r.turns] for r in chats.select("conv_id", chat.read_chats(text).alias("turns")).collect()}
@@ -84,6 +94,12 @@ def test_chat_round_trip(spark):
     assert chat.digests(chat.format_chats(df.limit(0))).count() == 0
 
 
+@needs_tables
+def test_the_machine_decides_in_the_query(spark):
+    plan = queries.op5_chat_format(spark, SF).drop("valid")._jdf.queryExecution().optimizedPlan().toString()
+    assert all(f"{state}>{role}" in plan for state, role in chat.TURNS) and "Python" not in plan
+
+
 # Search
 
 
@@ -118,6 +134,17 @@ def test_search_awkward_rows(spark):
     assert search.search(df.where("vec_id = 1"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_a_query_is_never_short_of_rows():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(2000, 8))
+    tree = search.KMeansTree.fit(x, 8, 20)
+    rows = np.bincount(tree.assign(x), minlength=tree.leaves)
+    for q in x[:50]:
+        leaves = tree.visit(q, 1, rows, 150)
+        assert rows[leaves].sum() >= 150 and len(set(leaves)) == len(leaves) < tree.leaves
+    assert sorted(tree.visit(x[0], tree.leaves)) == list(range(tree.leaves))
+
+
 @needs_tables
 def test_search_recall(spark):
     rows = {r.vec_id: np.array(r.embedding, np.float64) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()}
@@ -223,6 +250,7 @@ def test_url_aliases_by_relative_and_encoded_targets(spark):
         (9, "http://e.io/z", refresh.format("&#39;t&#39;")), (10, "http://e.io/t", link.format("http://evil.net/t")),
         (11, "http://f.io/z", '<base href="/deep/">' + link.format("t")), (12, "http://f.io/deep/t", link.format("http://evil.net/u")),
         (13, "http://f.io/t", None), (14, "http://g.io/z", link.format("mailto:x")), (15, "http://g.io/y", link.format("#part")),
+        (-1, "http://i.io/z", link.format("http://j.io/other") + refresh.format("http://k.io/") + link.format("http://evil.net/v")), (-2, "HTTP://K.io", None), (-3, "http://j.io/other", None),
     ]
     df = spark.createDataFrame(data, "page_id long, url string, html string")
     got = {r.page_id: r.verdict for r in urls.filter_urls(df).collect()}

@@ -1,5 +1,7 @@
 """op1, op6, op7: held-out accuracy, equality with the tokenizer's library, awkward rows."""
 
+import itertools
+import math
 import os
 import random
 import zlib
@@ -10,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from rillscore.llm import langid, queries, tokencount, toxicity
+from rillscore.llm import common, langid, queries, tokencount, toxicity
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -83,9 +85,73 @@ def test_op6_held_out(spark):
     assert sum(r.lang_pred == r.lang for r in held) / len(held) > 0.98
 
 
+def test_language_scores_equal_a_plain_loop():
+    said = {"en": "the house and the garden of his mother", "de": "das haus und der garten seiner mutter", "nl": "het huis en de tuin van zijn moeder", "fr": "la maison et le jardin de sa mère", "es": "la casa y el jardín de su madre"}
+    rng = random.Random(8)
+    data = [(" ".join(rng.sample(said[lang].split(), 6)), lang) for _ in range(40) for lang in said]
+    model = langid.Hierarchy.fit(*zip(*data, strict=True))
+    for text, _ in data[::7]:
+        x = [0.0] * langid.DIM
+        raw = f" {text.lower()} ".encode()
+        for a, b, c in zip(raw, raw[1:], raw[2:]):
+            x[((a * 961 + b * 31 + c) * 2654435761 % 2**32) >> 20] += 1
+        norm = math.sqrt(sum(v * v for v in x))
+        prob = lambda row: 1 / (1 + math.exp(-model.a[row] * (sum(float(w) * v / norm for w, v in zip(model.w[row], x)) + model.b[row])))
+        family = {f: prob(row) for (f, _), row in zip(model.families, model.family_rows)}
+        best = max(family, key=family.get)
+        langs = dict(model.families)[best]
+        votes = dict.fromkeys(langs, 0.0)
+        for p, q in itertools.combinations(langs, 2):
+            won = prob(model.pair_rows[p, q])
+            votes[p], votes[q] = votes[p] + won, votes[q] + 1 - won
+        lang = max(votes, key=votes.get)
+        got = model.predict(text)
+        assert got[0] == lang and got[1] == pytest.approx(family[best] / sum(family.values()) * (votes[lang] / (len(langs) - 1) if len(langs) > 1 else 1), rel=1e-4)
+
+
+def test_rare_languages_are_sampled(spark):
+    rows = [(i, f"common words number {i}", "en") for i in range(3000)] + [(-i, f"seltene wörter nummer {i}", "de") for i in range(1, 6)]
+    model = langid.fit_language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), sample=100)
+    assert [ls for _, ls in model.families] == [["de", "en"]]
+
+
+def test_samples_agree_and_are_bounded(spark):
+    df = spark.range(5000).select(F.when(F.col("id") < 2500, 7).otherwise(F.col("id")).alias("k"), F.concat(F.lit("t"), (F.col("id") % 4000).cast("string")).alias("text"))
+    a, b = (common.bounded_sample(df.repartition(n), "k", 200, "text") for n in (3, 7))
+    assert a == b and len(a) == 200 and len({r["_h"] for r in a}) == 200
+    assert common.bounded_sample(df.limit(0), "k", 200, "text") == []
+    with pytest.raises(ValueError, match="carried"):
+        common.per_text(df.withColumn("Score", F.lit(1)), "text", ["k", "Score"], "score double", lambda t: [])
+
+
 # Toxicity
 
 
+def test_toxicity_scores_equal_a_plain_loop():
+    rng = random.Random(6)
+    words = ["".join(rng.choice("abcdeéж") for _ in range(rng.randrange(1, 9))) for _ in range(200)]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.choice([1, 2, 5, 15, 16, 17, 24, 25, 40, 100]))) for _ in range(80)]
+    model = toxicity.SubwordSoftmax.fit(texts, [int("ab" in t) for t in texts])
+
+    def bucket(gram):
+        h = 0
+        for n, c in enumerate(gram, 1):
+            h = (h * 0x100000001B3 + ord(c) + n) % 2**64 if n > 1 else ord(c)
+        return (h * 0x9E3779B97F4A7C15 % 2**64) >> (64 - toxicity.BITS)
+
+    def value(word):
+        w = f"<{word}>"
+        at = [bucket(w[i : i + n]) for n in (3, 4) for i in range(len(w) - n + 1)] + [(toxicity.xxhash.xxh3_64_intdigest(word.encode()) * 0x9E3779B97F4A7C15 % 2**64) >> (64 - toxicity.BITS)]
+        return sum(float(model.logit[b]) for b in at) / math.sqrt(len(at))
+
+    for text, got in zip([*texts, "word word word", "Ж! ab"], model.scores([*texts, "word word word", "Ж! ab"]), strict=True):
+        ws = [w for w, _ in itertools.groupby(toxicity.tokens(text))]
+        n = min(toxicity.WINDOW, len(ws))
+        starts = [*range(0, len(ws) - n, toxicity.WINDOW // 2), len(ws) - n]
+        worst = max(sum(value(w) for w in ws[a : a + n]) / n for a in starts)
+        assert got == pytest.approx(1 / (1 + math.exp(-worst - model.bias)), rel=1e-4)
+
+
 def test_misspellings_share_vectors():
     rng = random.Random(5)
     word = lambda: "".join(rng.choice(["ka", "lo", "mi", "ru", "te", "so"]) for _ in range(3))
