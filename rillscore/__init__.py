@@ -1,3 +1,3 @@
 """Spark-native batch scoring: sources, batch plans, scorers, projections, sinks and run journals as DataFrame stages."""
 
-__version__ = "0.1.0"
+__version__ = "0.2.0"

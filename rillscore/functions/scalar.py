@@ -8,11 +8,6 @@ from pyspark.sql import functions as F
 OBJECT_ID = "^[A-Fa-f0-9]{24}$"
 
 
-def strip(c: Column) -> Column:
-    """All white space off both ends, as for header and column names."""
-    return F.regexp_replace(c, "^\\s+|\\s+$", "")
-
-
 def split_line(line: Column, delimiter: str) -> Column:
     """Cells of a raw line, line end removed; empty last cells stay (a trailing TAB is a cell, not white space)."""
     return F.split(F.regexp_replace(line, "[\\r\\n]+$", ""), "\\Q" + delimiter.replace("\\E", "\\E\\\\E\\Q") + "\\E", -1)

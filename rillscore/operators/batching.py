@@ -27,14 +27,15 @@ def batch_plan(df: DataFrame) -> DataFrame:
 def sampled_rows(lines: DataFrame, line: str, order: str, header_bytes: int) -> DataFrame:
     """One row, n_samples: rows per batch so that a batch is about GOAL_BYTES.
 
-    The first SAMPLE_BYTES of lines are measured. Fewer than two lines give FALLBACK_ROWS; less than three quarters of a
-    sample means a small input: SMALL_INPUT_ROWS; else the goal by the mean line (header included), plus one.
+    The first SAMPLE_BYTES, header included, are measured. Less than three quarters of that means a small input:
+    SMALL_INPUT_ROWS. If not even the header ends there, FALLBACK_ROWS; else the goal by the mean of the lines that begin
+    there but the last, which is probably cut off, plus one.
     """
     first = lines.select(order, (F.octet_length(line) + 1).alias("bytes")).orderBy(order).limit(SAMPLE_BYTES)
-    run = F.sum("bytes").over(Window.orderBy(order)) + header_bytes
-    got = first.withColumn("run", run).where(F.col("run") <= SAMPLE_BYTES).agg(F.count("*").alias("n"), F.coalesce(F.max("run"), F.lit(header_bytes)).alias("size"))
-    mean = F.floor(F.col("size") / (F.col("n") + 1))
-    return got.select(F.when(F.col("n") < 2, F.lit(FALLBACK_ROWS)).when(F.col("size") < 0.75 * SAMPLE_BYTES, F.lit(SMALL_INPUT_ROWS)).otherwise(F.floor(GOAL_BYTES / mean) + 1).cast("long").alias("n_samples"))
+    upto = F.sum("bytes").over(Window.orderBy(order)) + header_bytes
+    got = first.withColumn("upto", upto).where(F.col("upto") - F.col("bytes") < SAMPLE_BYTES).agg(F.count("*").alias("n"), F.least(F.coalesce(F.max("upto"), F.lit(header_bytes)), F.lit(SAMPLE_BYTES)).alias("size"))
+    mean = F.floor(F.col("size") / F.col("n"))
+    return got.select(F.when(F.col("size") < 0.75 * SAMPLE_BYTES, F.lit(SMALL_INPUT_ROWS)).when(F.col("n") < 1, F.lit(FALLBACK_ROWS)).otherwise(F.floor(GOAL_BYTES / mean) + 1).cast("long").alias("n_samples"))
 
 
 def halve(sizes: list[int], start: int, most: int) -> list[tuple[int, int, int]]:

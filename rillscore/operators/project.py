@@ -79,7 +79,13 @@ def project(df: DataFrame, contract: Contract, out: Output) -> DataFrame:
         raise ValueError("the scorer gives no prediction threshold")
     cols = [] if out.skip_row_id else [("row_id", F.col("row_id"))]
     cols += [(c, F.col(c)) for c in out.keep_cols]
-    named = value_columns(F.col("values"), contract, out.pred_name)
+    direct = [f"_value_{i}" for i in range(len(contract.labels))]
+    if set(direct) <= set(df.columns):
+        if out.pred_name is not None and len(direct) > 2:
+            raise ValueError(f"pred_name needs one or two labels, the scorer has {len(direct)}")
+        named = [F.col(direct[-1])] if out.pred_name is not None else [F.col(c) for c in direct]
+    else:
+        named = value_columns(F.col("values"), contract, out.pred_name)
     cols += list(zip([out.pred_name] if out.pred_name is not None else contract.sorted_labels(), named, strict=True))
     if out.max_explanations:
         names = [f"explanation_{i + 1}_{f}" for i in range(out.max_explanations) for f in ("feature", "strength")]

@@ -6,26 +6,25 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+
+from rillscore.operators.scratch import written
 
 ROWS_A_TASK = 1_000_000
 
 
 def with_row_id(df: DataFrame, *keys: str, rows_a_task: int = ROWS_A_TASK, name: str = "row_id") -> DataFrame:
-    """Adds row_id: contiguous from 0 in the order of keys (unique together).
+    """Adds row_id: contiguous from 0 in the order of keys (of any orderable types, unique together).
 
-    Up to rows_a_task rows are numbered by one window. Beyond that the first key is cut into ranges at its quantiles (a
-    numeric key; literals in the plan, so every evaluation cuts alike), ranges are counted, and each row adds the count of
-    the ranges before its own to its number inside the range: the same ids, with one task per million rows.
+    The rows are dealt by ranges of all keys, so that no task has much more than rows_a_task of them and one frequent
+    first key is no hot range, and sorted there. A row's id is its place in its partition plus the rows of the partitions
+    before. The places are written once, since ranges found again by sampling could differ; the counts are one row a
+    partition. A single partition needs neither.
     """
-    n = df.count()
-    ranges = math.ceil(n / rows_a_task)
-    if ranges <= 1 or not isinstance(df.schema[keys[0]].dataType, NumericType):
-        return df.withColumn(name, (F.row_number().over(Window.orderBy(*keys)) - 1).cast("long"))
-    cuts = df.agg(F.percentile_approx(keys[0], [i / ranges for i in range(1, ranges)], 10 * ranges)).first()[0]
-    at = F.size(F.filter(F.array(*map(F.lit, sorted(set(cuts)))), lambda c: c < F.col(keys[0])))
-    df = df.withColumn("_range", at)
-    sums = df.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = sums.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy(*keys)) - 1
-    return df.withColumn("_inside", inside).join(F.broadcast(before), "_range").withColumn(name, (F.col("_before") + F.col("_inside")).cast("long")).drop("_range", "_inside", "_before")  # a row per range
+    parts = math.ceil(df.count() / rows_a_task)
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    if parts <= 1:
+        return df.repartition(1).sortWithinPartitions(*keys).withColumn(name, place)
+    dealt = written(df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys).withColumns({"_part": F.spark_partition_id(), "_place": place}))
+    counts = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    return dealt.join(F.broadcast(before), "_part").withColumn(name, (F.col("_before") + F.col("_place")).cast("long")).drop("_part", "_place", "_before")  # a row per partition

@@ -9,6 +9,7 @@ from __future__ import annotations
 import base64
 import csv
 import gzip
+import http.client
 import io
 import json
 import ssl
@@ -52,7 +53,9 @@ class ExpressionScorer:
     explanations: Column | None = None
 
     def score(self, df: DataFrame) -> DataFrame:
-        values = class_values(self.values)
+        # A column for each label, in order: the projection takes these, and nothing sorts an array whose labels are known.
+        df = df.withColumns({f"_value_{i}": self.values[label].cast("double") for i, label in enumerate(self.contract.sorted_labels())})
+        values = class_values(dict(zip(self.contract.sorted_labels(), (F.col(f"_value_{i}") for i in range(len(self.values))), strict=True)))
         best = F.array_max(F.transform(values, lambda v: F.struct(v["value"].alias("v"), v["label"].alias("l"))))["l"]
         df = df.withColumn("values", values).withColumn("prediction", best if self.prediction is None else self.prediction.cast("string"))
         if self.contract.has_threshold:
@@ -157,7 +160,8 @@ class HttpScorer:
             else:
                 yield out | self.post(body)
 
-    def post(self, body: bytes) -> dict:
+    def post(self, body: bytes, final: tuple[int, ...] = ()) -> dict:
+        """The end of one request: ok with the response, or error. Statuses in `final` are not tried again; nothing is raised."""
         headers = {"content-type": "text/csv; charset=utf8", **self.headers}
         if self.compress:
             body, headers["Content-Encoding"] = gzip.compress(body, 2), "gzip"
@@ -173,8 +177,10 @@ class HttpScorer:
                     return {"status": "ok", "response": text}
             except urllib.error.HTTPError as e:
                 said = f"status {e.code}"
-            except ValueError as e:
-                said = f"malformed response: {e}"
+                if e.code in final:
+                    return {"status": "error", "message": said}
+            except (ValueError, http.client.HTTPException) as e:  # no JSON, or cut off halfway
+                said = f"malformed response: {type(e).__name__} {e}"
             except OSError as e:
                 return {"status": "error", "message": f"no response: {type(e).__name__}"}
         return {"status": "error", "message": f"{said}, exceeded retry limit"}
@@ -184,9 +190,9 @@ class HttpScorer:
         return unpack_legacy(good) if self.legacy else unpack_v10(good)
 
     def score(self, df: DataFrame) -> DataFrame:
-        """Rows of df(row_id, ...) with their predictions; rows of lost batches are missing and stand in the journal."""
-        got = self.unpack(last_attempt(self.attempts(df).withColumn("attempt", F.lit(1)))).where("status = 'ok'").drop("batch_id", "status")
-        return df.join(got, "row_id")
+        """All rows of df(row_id, ...) with their predictions and `_status`: rows of lost batches have nulls and `lost`."""
+        got = self.unpack(last_attempt(self.attempts(df).withColumn("attempt", F.lit(1)))).where("status = 'ok'").drop("batch_id").withColumnRenamed("status", "_status")
+        return df.join(got, "row_id", "left").withColumn("_status", F.coalesce("_status", F.lit("lost")))
 
 
 #: Statuses of the validation call that end a run before it starts, and what they mean.
@@ -218,7 +224,7 @@ def acquire_token(host: str, user: str, password: str, create: bool = False, api
 
 def preflight(scorer: HttpScorer, first_row: list) -> None:
     """Post one row before any job runs; raises with a clear text where the service will not answer."""
-    got = scorer.post(scorer.payload([first_row]))
+    got = scorer.post(scorer.payload([first_row]), tuple(FATAL))
     if got["status"] != "ok":
         code = next((c for c in FATAL if got["message"] and f"status {c}" in got["message"]), None)
         raise ValueError(f"the prediction service refused the first row: {FATAL.get(code, got['message'])}")

@@ -8,6 +8,7 @@ import re
 from dataclasses import dataclass, fields
 from pathlib import Path
 
+from rillscore import __version__
 from rillscore.functions.scalar import OBJECT_ID
 from rillscore.operators.project import parse_names
 from rillscore.sources.dialect import delimiter_of
@@ -57,6 +58,8 @@ class ScoreConfig:
     dry_run: bool = False
     stdout: bool = False
     verbose: bool = False
+    single_line: bool = False
+    parts: bool = False
     labels: str = "0,1"
 
     def normalized(self) -> ScoreConfig:
@@ -81,7 +84,7 @@ class ScoreConfig:
 
     def manifest(self) -> dict:
         """What must be the same for a run to be resumed."""
-        names = ("dataset", "project_id", "model_id", "deployment_id", "import_id", "n_samples", "keep_cols", "skip_row_id", "output_delimiter", "pred_name", "max_prediction_explanations")
+        names = ("dataset", "project_id", "model_id", "deployment_id", "import_id", "n_samples", "keep_cols", "skip_row_id", "output_delimiter", "pred_name", "pred_threshold", "pred_decision", "delimiter", "encoding", "fast", "max_prediction_explanations")
         return {n: getattr(self, n) for n in names}
 
 
@@ -122,6 +125,7 @@ def parser(ids: tuple[str, ...] = ("project_id", "model_id")) -> argparse.Argume
             p.add_argument(*(["-y"] if f.name == "yes" else ["-n"] if f.name == "no" else []), f"--{f.name}", action="store_true")
         else:
             p.add_argument(f"--{f.name}", type=float if "float" in kind else int if "int" in kind else str)
+    p.add_argument("--version", action="version", version=__version__)
     p.add_argument("--resume", dest="resume", action="store_true")
     p.add_argument("--no-resume", dest="resume", action="store_false")
     p.add_argument("--no_verify_ssl", dest="verify_ssl", action="store_false")

@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rillscore.functions.scalar import run_key
-from rillscore.operators.batching import batch_plan, with_batch_id
+from rillscore.operators.batching import MAX_BATCH_BYTES, split_plan, with_batch_id
 from rillscore.operators.journal import RunJournal, account, pending
 from rillscore.operators.project import Output, project, project_legacy
 from rillscore.operators.scorers import HttpScorer, Scorer
 
 
+log = logging.getLogger("rillscore")
+
+
 @dataclass
 class RunReport:
     rows_planned: int
@@ -21,6 +25,7 @@ class RunReport:
     rows_lost: int
     batches_missing: int
     errors_fixed: int
+    counters: dict | None = None
 
     @property
     def exit_code(self) -> int | None:
@@ -32,9 +37,15 @@ def score_table(df: DataFrame, scorer: Scorer, out: Output, legacy: bool = False
     return (project_legacy if legacy else project)(scorer.score(df), scorer.contract, out)
 
 
-def dry_run(df: DataFrame, rows: int) -> DataFrame:
-    """One row: what a run would send."""
-    return batch_plan(with_batch_id(df, rows)).agg(F.count("*").alias("n_batches"), F.sum("n_rows").cast("long").alias("n_rows"), F.max("n_rows").cast("long").alias("largest_batch"))
+def dry_run(df: DataFrame, rows: int, size: Column | None = None, most: int = MAX_BATCH_BYTES) -> DataFrame:
+    """One row: what a run would send. Chunks of equal rows follow from the count; with a size of each row (and row ids)
+    batches are halved as a run would halve them, and rows that are too large alone are counted."""
+    if size is None:
+        n = F.col("n_rows")
+        batches = (F.floor((n + rows - 1) / rows)).cast("long")
+        return df.agg(F.count("*").alias("n_rows")).select(batches.alias("n_batches"), "n_rows", F.least(n, F.lit(rows).cast("long")).alias("largest_batch"))
+    plan = split_plan(with_batch_id(df, rows), size, most)
+    return plan.agg(F.count("*").alias("n_batches"), F.sum("n_rows").cast("long").alias("n_rows"), F.max("n_rows").cast("long").alias("largest_batch"), F.count(F.when(F.col("oversize"), 1)).alias("n_oversize"))
 
 
 def run(spark: SparkSession, df: DataFrame, scorer: HttpScorer, out: Output, folder: str, manifest: dict, rows: int = 1000, resume: bool | None = None, keep_state: bool = False) -> RunReport:
@@ -49,7 +60,10 @@ def run(spark: SparkSession, df: DataFrame, scorer: HttpScorer, out: Output, fol
     done = journal.read().where("status = 'ok'").select(F.explode(F.sequence("batch_id", F.col("batch_id") + F.col("n_rows") - 1)).alias("row_id"))
     todo = planned.join(done, "row_id", "left_anti")
     part = f"{folder}/attempts/{journal.read().count()}"
-    scorer.attempts(todo).write.mode("overwrite").parquet(part)
+    sent, read = Observation("sent"), Observation("read")
+    todo_seen = todo.observe(read, F.count(F.lit(1)).alias("rows_read"))
+    ends_of = lambda status: F.count(F.when(F.col("status") == status, 1))
+    scorer.attempts(todo_seen).observe(sent, F.count(F.lit(1)).alias("batches_sent"), ends_of("ok").alias("batches_ok"), ends_of("error").alias("batches_error")).write.mode("overwrite").parquet(part)
     attempts = spark.read.parquet(part)
     unpacked = scorer.unpack(attempts)
     good = unpacked.where("status = 'ok'").drop("batch_id", "status")
@@ -62,6 +76,8 @@ def run(spark: SparkSession, df: DataFrame, scorer: HttpScorer, out: Output, fol
     report = RunReport(*account(pieces, journal.read()).first())
     total = df.count()
     report.rows_planned = total
+    report.counters = {**read.get, **sent.get, "rows_skipped": total - read.get["rows_read"]}
+    log.info("read and sent: %s; done %d rows, lost %d", report.counters, report.rows_done, report.rows_lost)
     if report.exit_code is None and report.rows_done == total and not keep_state:
         journal.clear()
     return report

@@ -2,6 +2,7 @@
 
 import gzip
 import http.server
+import io
 import json
 import threading
 from collections import Counter
@@ -11,7 +12,7 @@ import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
-from rillscore.cli import score_file
+from rillscore.cli import agreed, score_file
 from rillscore.operators import batching, journal, response
 from rillscore.operators.project import Contract, Output, check_keep_cols, parse_names, project, project_legacy
 from rillscore.operators.rowid import with_row_id
@@ -76,6 +77,43 @@ def test_declared_encoding(spark, tmp_path, fast):
     assert rows(src.scan().select("k", "v")) == [("1", "café"), ("2", "naïve")]
 
 
+def test_fast_scan_skips_the_first_line_only(spark, tmp_path):
+    """Later lines that equal the header are rows; form feeds and other such characters end no line."""
+    (tmp_path / "in.csv").write_bytes("a,b\x0cc\u2028d\n1,2\na,b\x0cc\u2028d\n\n3,4\n".encode())
+    src = DelimitedSource(spark, str(tmp_path / "in.csv"), skip_dialect=True, fast=True)
+    first, second = src.columns
+    assert rows(src.scan().select(first, second)) == [("1", "2"), (first, second), ("", ""), ("3", "4")]
+    with (tmp_path / "big.csv").open("w") as f:
+        f.write("k,v\n" + "".join(f"{i},x\n" if i % 1000 else "k,v\n" for i in range(60_000)))
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        df = DelimitedSource(spark, str(tmp_path / "big.csv"), skip_dialect=True, fast=True).scan()
+        assert df.rdd.getNumPartitions() > 3 and df.count() == 60_000 and df.where("k = 'k'").count() == 60
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+
+
+def test_cells_over_the_limit(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("a,b\n1," + "x" * 50 + "\n")
+    for fast in (True, False):
+        assert DelimitedSource(spark, str(tmp_path / "in.csv"), skip_dialect=True, fast=fast, field_limit=50).scan().count() == 1
+        with pytest.raises(Exception, match="(?i)50|longer|exceed"):
+            DelimitedSource(spark, str(tmp_path / "in.csv"), skip_dialect=True, fast=fast, field_limit=20).scan().collect()
+
+
+def test_single_lines_are_split(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("k,v\n" + "".join(f'{i},"a,b"\n' for i in range(50_000)))
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        whole, split = (DelimitedSource(spark, str(tmp_path / "in.csv"), skip_dialect=True, multi_line=m).scan() for m in (True, False))
+        assert whole.rdd.getNumPartitions() == 1 < split.rdd.getNumPartitions()
+        assert sorted(rows(whole)) == sorted(rows(split))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+
+
 def test_fast_mode_refuses_multiline(spark, tmp_path):
     (tmp_path / "in.csv").write_text('a,b\n1,"x\ny"\n')
     with pytest.raises(ValueError, match="several lines"):
@@ -95,6 +133,17 @@ def test_column_names():
 # Row ids and plans
 
 
+def test_row_ids_of_any_key_without_a_global_window(spark):
+    df = spark.range(5000).select(F.sha1(F.col("id").cast("string")).alias("s"), F.when(F.col("id") % 3 > 0, "hot").otherwise(F.col("id").cast("string")).alias("h"), F.timestamp_seconds(F.col("id") * 7 % 5003).alias("t"), "id")
+    for keys in (("s",), ("t",), ("h", "s"), ("id",)):
+        want = {r[-1]: i for i, r in enumerate(sorted(map(tuple, df.select(*keys, "id").collect())))}
+        for a_task in (10_000, 700):
+            got = with_row_id(df, *keys, rows_a_task=a_task)
+            assert {r.id: r.row_id for r in got.collect()} == want
+            assert "Window" not in got.drop("row_id")._jdf.queryExecution().optimizedPlan().toString().split("_before")[0]
+    assert with_row_id(df.limit(0), "s").count() == 0
+
+
 def test_row_ids_do_not_depend_on_ranges(spark):
     df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"), (F.col("id") % 3).alias("v"))
     one = sorted(rows(with_row_id(df, "k").select("k", "row_id")))
@@ -111,7 +160,10 @@ def test_halving():
 
 def test_sampled_rows(spark):
     lines = lambda n, size: spark.range(n).select("id", F.repeat(F.lit("x"), size).alias("line"))
-    assert batching.sampled_rows(lines(1, 5), "line", "id", 4).first()[0] == 10
+    assert batching.sampled_rows(lines(1, 5), "line", "id", 4).first()[0] == 500
+    assert batching.sampled_rows(lines(1, 5), "line", "id", 600_000).first()[0] == 10
+    assert batching.sampled_rows(lines(1000, 180_000), "line", "id", 10).first()[0] == 2_500_000 // (500_000 // 3) + 1
+    assert batching.sampled_rows(lines(2, 600_000), "line", "id", 10).first()[0] == 6
     assert batching.sampled_rows(lines(100, 5), "line", "id", 4).first()[0] == 500
     assert batching.sampled_rows(lines(10_000, 99), "line", "id", 100).first()[0] == 25_001
 
@@ -281,7 +333,44 @@ def test_lost_connection_is_final(spark):
     assert [(r.status, r.message.startswith("no response")) for r in got] == [("error", True)]
 
 
+def test_a_response_cut_off_halfway(spark, service, monkeypatch):
+    """The batch ends as an error after its attempts; its rows are told as lost, the others are scored."""
+
+    def cut(self):
+        self.rfile.read(int(self.headers["Content-Length"]))
+        self.send_response(200)
+        self.send_header("Content-Length", "1000")
+        self.end_headers()
+        self.wfile.write(b"{")
+
+    whole = Service.do_POST
+    assert {r._status for r in scorer(service).score(batching.with_batch_id(table(spark), 10)).collect()} == {"ok"}
+    monkeypatch.setattr(Service, "do_POST", cut)
+    got = scorer(service, retries=2).post(b"k,c\n1,x\n")
+    assert got["status"] == "error" and "IncompleteRead" in got["message"]
+    lost = scorer(service, retries=1).score(batching.with_batch_id(table(spark), 10)).collect()
+    assert len(lost) == 45 and {r._status for r in lost} == {"lost"}
+    monkeypatch.setattr(Service, "do_POST", whole)
+
+
+@pytest.mark.parametrize("code", [400, 401, 403, 405, 422])
+def test_preflight_ends_at_once(service, monkeypatch, code):
+    asked = []
+
+    def refuse(self):
+        self.rfile.read(int(self.headers["Content-Length"]))
+        asked.append(1)
+        self.send_error(code)
+
+    monkeypatch.setattr(Service, "do_POST", refuse)
+    with pytest.raises(ValueError, match="refused"):
+        preflight(scorer(service, retries=3), [1, "x"])
+    assert len(asked) == 1
+
+
 def test_dry_run_and_preflight(spark, service):
+    assert rows(dry_run(table(spark), 10, F.lit(30), 200)) == [(9, 45, 5, 0)]
+    assert rows(dry_run(table(spark), 10, F.lit(30), 20))[0][3] == 45
     assert rows(dry_run(table(spark), 10)) == [(5, 45, 10)]
     assert {r.status for r in scorer(service, dry_run=True).attempts(batching.with_batch_id(table(spark), 10)).collect()} == {"dry"}
     assert not Service.seen
@@ -302,7 +391,8 @@ def test_tokens(service):
         acquire_token(host, "u", "p", api="api/v1")
 
 
-def test_command_line(spark, service, tmp_path):
+def test_command_line(spark, service, tmp_path, capsys, monkeypatch):
+    monkeypatch.setattr("sys.stdin", io.StringIO())
     (tmp_path / "in.csv").write_text("k,c\n" + "".join(f"{i},x\n" for i in range(25)))
     host = service.rsplit("/", 1)[0]
     argv = ["0" * 24, "f" * 24, str(tmp_path / "in.csv"), "--host", host, "--n_samples", "10", "--keep_cols", "c", "--pred_name", "p", "--skip_dialect", "--labels", "z", "--out", str(tmp_path / "out.csv"), "--no-resume"]
@@ -311,6 +401,15 @@ def test_command_line(spark, service, tmp_path):
     assert text[0] == "row_id,c,p" and text[1:] == [f"{i},x,{2.0 * i}" for i in range(25)]
     assert score_file(spark, configure([*argv, "--dry_run"], folders=[tmp_path]), Contract(("z",)), str(tmp_path / "run")) is None
     assert score_file(spark, configure([*argv, "--no"], folders=[tmp_path]), Contract(("z",)), str(tmp_path / "run")) is None
+    assert text == next((tmp_path / "out.csv").glob("part-*")).read_text().splitlines()
+    more = ["--yes", "--verbose", "--fast", "--parts", "--field_size_limit", "50", "--single_line"]
+    assert score_file(spark, configure([*argv, *more], folders=[tmp_path]), Contract(("z",)), str(tmp_path / "run")) is None
+    told = capsys.readouterr().err
+    assert "'rows_read': 25" in told and "'batches_ok': 3" in told and "dialect" in told
+    with pytest.raises(ValueError, match="--yes or --no"):
+        agreed("Overwrite?", configure(argv, folders=[tmp_path]))
+    said = iter(["what", "Yes"])
+    assert agreed("Overwrite?", configure(argv, folders=[tmp_path]), lambda q: next(said))
 
 
 def test_endpoints():
