@@ -7,15 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillscore.functions.scalar import csv_line, sigmoid, sort_labels, split_line
+from rillscore.functions.scalar import csv_line, sigmoid, sort_labels
 from rillscore.operators import batching, journal, response
-from rillscore.operators.project import Contract, Output, explanation_columns, project_legacy, value_columns
+from rillscore.operators.project import Contract, Output, project, project_legacy, value_columns
 from rillscore.operators.rowid import with_row_id
 from rillscore.operators.scorers import ExpressionScorer, class_values
-from rillscore.operators.sink import lines
+from rillscore.operators.scratch import scratch_path
+from rillscore.operators.sink import lines, part_files, write_csv
 from rillscore.plans.run import dry_run, score_table
-from rillscore.sources.delimited import drop_empty_lines, peek
-from rillscore.sources.dialect import FIELD_LIMIT
+from rillscore.sources.delimited import DelimitedSource, drop_empty_lines, peek
+from rillscore.sources.dialect import FIELD_LIMIT, candidates
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -131,13 +132,23 @@ def drop_empty_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_empty_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"), "text").groupBy("doc_id").agg(F.count("*").alias("n_lines"))
 
 
-@query("""SELECT n_nationkey::VARCHAR AS cell_0, n_name AS cell_1, r_name AS cell_2, 3::BIGINT AS n_cells
-          FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def _file(df: DataFrame, name: str, delimiter: str = ",") -> str:
+    """df as one delimited file with a header, written by the sink."""
+    folder = scratch_path(df.sparkSession, name)
+    write_csv(df, folder, delimiter, single=True)
+    return part_files(df.sparkSession, folder)[0]
+
+
+@query("""SELECT n_nationkey::VARCHAR AS "key", n_name AS nation, r_name AS region, '' AS last, 4::BIGINT AS n_cells
+          FROM nation JOIN region ON n_regionkey = r_regionkey
+          UNION ALL SELECT 'key', 'nation', 'region', 'last', 4""")
 def fast_split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The file holds a line that equals its header, and an empty last cell on each other one."""
     both = _read(spark, sf_dir, "nation").join(_read(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    raw = both.select(F.concat_ws("|", F.col("n_nationkey").cast("string"), "n_name", "r_name", F.lit("")).alias("value"))
-    cells = raw.select(split_line(F.concat("value", F.lit("\r\n")), "|").alias("c"))
-    return cells.select(*[F.get("c", F.lit(i)).alias(f"cell_{i}") for i in range(3)], (F.size("c") - 1).cast("long").alias("n_cells"))
+    data = both.select(F.col("n_nationkey").cast("string").alias("key"), F.col("n_name").alias("nation"), F.col("r_name").alias("region"), F.lit("").alias("last"))
+    data = data.unionByName(spark.createDataFrame([("key", "nation", "region", "last")], data.schema))
+    source = DelimitedSource(spark, _file(data, "nations", "|"), "|", skip_dialect=True, fast=True)
+    return source.check_cells(source.scan()).select("key", "nation", "region", "last", F.col("_cells").cast("long").alias("n_cells"))
 
 
 @query(f"SELECT count(*) FILTER (length(text) > {FIELD_LIMIT}) AS n_wide, max(length(text))::BIGINT AS widest FROM documents")
@@ -147,27 +158,22 @@ def wide_field_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH l AS (SELECT n_nationkey AS line, concat_ws(',', n_nationkey, n_name, n_regionkey) AS t FROM nation),
+WITH l AS (SELECT n_nationkey AS line, concat_ws(',', n_nationkey, n_name, n_regionkey) AS t FROM nation ORDER BY n_nationkey LIMIT 20),
 ch AS (SELECT line, unnest(string_split(regexp_replace(t, '\\w', '', 'g'), '')) AS ch FROM l),
 n AS (SELECT line, ch, count(*) AS k FROM ch WHERE ch <> '' GROUP BY ALL)
-SELECT ch, count(*) AS n_lines, avg(k)::DOUBLE AS mean FROM n GROUP BY ch
-HAVING count(*) = (SELECT count(*) FROM l) AND min(k) = max(k)""")
+SELECT ch FROM n GROUP BY ch HAVING count(*) = (SELECT count(*) FROM l) AND min(k) = max(k)""")
 def delimiter_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the detector finds in the first lines, at most 20."""
     nation = _read(spark, sf_dir, "nation")
-    rows = nation.select(F.col("n_nationkey").alias("line"), csv_line([F.col(c) for c in nation.columns]).alias("t"))
-    chars = rows.select("line", F.explode(F.split(F.regexp_replace("t", "\\w", ""), "")).alias("ch")).where("ch <> ''")
-    per_line = chars.groupBy("line", "ch").agg(F.count("*").alias("k"))
-    found = per_line.groupBy("ch").agg(F.count("*").alias("n_lines"), F.avg("k").alias("mean"), F.coalesce(F.stddev_samp("k"), F.lit(0.0)).alias("dev"))
-    total = rows.agg(F.count("*").alias("total"))
-    return found.join(total, found.n_lines == total.total).where("dev = 0").select("ch", "n_lines", "mean")
+    rows = nation.select("n_nationkey", csv_line([F.col(c) for c in nation.columns]).alias("t")).orderBy("n_nationkey").limit(20).collect()
+    return spark.createDataFrame([(c,) for c in candidates("".join(f"{r.t}\n" for r in rows))], "ch string")
 
 
 @query("SELECT c_custkey::VARCHAR AS c_custkey, c_name, c_nationkey::VARCHAR AS c_nationkey, c_mktsegment FROM customer")
 def scan_roundtrip_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cols = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
-    text = _read(spark, sf_dir, "customer").select(csv_line([F.col(c) for c in cols]).alias("value"))
-    schema = ", ".join(f"{c} STRING" for c in cols)
-    return text.select(F.from_csv("value", schema, {"quote": '"', "escape": '"'}).alias("r")).select("r.*")
+    """Written by the sink, read by a parsed scan with its own detection of encoding and dialect."""
+    data = _read(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return DelimitedSource(spark, _file(data, "customers"), multi_line=False).scan()
 
 
 # Sinks
@@ -259,12 +265,18 @@ def _contributions(least: float):
     return F.transform(some, lambda e: F.struct(e["feature"].alias("feature"), F.format_string("%.3f", e["strength"]).alias("strength")))
 
 
+def _explained(spark: SparkSession, sf_dir: str, least: float, most: int) -> DataFrame:
+    value = F.round(F.lit(0.01) * F.col("c_acctbal") + F.lit(2.5), 6)
+    scorer = ExpressionScorer(Contract(("z",), has_explanations=True, target_type="Regression"), {"z": value}, value, explanations=_contributions(least))
+    return score_table(_customer(spark, sf_dir), scorer, Output(max_explanations=most))
+
+
 EXPLAIN = """
 WITH {customer},
 parts AS (
   SELECT row_id, unnest([{{'s': round(c_acctbal * 0.001::DOUBLE, 3), 'f': 'c_acctbal'}}, {{'s': round(c_nationkey * 0.1::DOUBLE, 3), 'f': 'c_nationkey'}}, {{'s': round((c_custkey % 7) * 0.5::DOUBLE, 3), 'f': 'c_custkey'}}]) AS e FROM c),
 ranked AS (SELECT row_id, e.f AS f, printf('%.3f', e.s) AS s, row_number() OVER (PARTITION BY row_id ORDER BY e.s DESC, e.f DESC) AS k FROM parts WHERE e.s >= {least})
-SELECT c.row_id, {columns} FROM c LEFT JOIN ranked r USING (row_id) GROUP BY c.row_id"""
+SELECT c.row_id, max(round(0.01::DOUBLE * c_acctbal + 2.5::DOUBLE, 6)) AS z, {columns} FROM c LEFT JOIN ranked r USING (row_id) GROUP BY c.row_id"""
 
 
 def _explain_sql(least: float, most: int) -> str:
@@ -274,12 +286,12 @@ def _explain_sql(least: float, most: int) -> str:
 
 @query(_explain_sql(-1e9, 2))
 def explanations_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _customer(spark, sf_dir).select("row_id", *explanation_columns(_contributions(-1e9), 2))
+    return _explained(spark, sf_dir, -1e9, 2)
 
 
 @query(_explain_sql(1.0, 4))
 def explanations_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _customer(spark, sf_dir).select("row_id", *explanation_columns(_contributions(1.0), 4))
+    return _explained(spark, sf_dir, 1.0, 4)
 
 
 @query(f"""WITH {CUSTOMER} SELECT row_id, 'c_nationkey' AS explanation_1_feature, printf('%.1f', c_nationkey * 0.5::DOUBLE) AS explanation_1_strength,
@@ -288,7 +300,7 @@ def explanations_reason_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.struct(F.lit("c_nationkey").alias("feature"), (F.col("c_nationkey") * F.lit(0.5)).alias("strength"))
     item = F.struct(F.lit(0).cast("long").alias("rowId"), F.lit("0").alias("prediction"), F.array(code).alias("reasonCodes"))
     sent = _customer(spark, sf_dir).select(F.col("row_id").alias("batch_id"), F.lit(1).alias("n_rows"), F.to_json(F.struct(F.array(item).alias("data"))).alias("response"))
-    return response.unpack_v10(sent).select("row_id", *explanation_columns(F.col("explanations"), 2))
+    return project(response.unpack_v10(sent), Contract((), has_explanations=True), Output(max_explanations=2))
 
 
 # Responses
