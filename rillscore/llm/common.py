@@ -35,9 +35,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_base(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts the lineage, survives lost executors, computes once."""
+def table(df: DataFrame, name: str, temporary: list[str] | None = None) -> DataFrame:
+    """Write to the shared folder and read back: cuts the lineage, survives lost executors, computes once.
+
+    The path is added to `temporary`, if given, for the caller to drop when nothing reads the table any more.
+    """
     path = scratch_path(df.sparkSession, name)
+    if temporary is not None:
+        temporary.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

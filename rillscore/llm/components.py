@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from rillscore.llm.common import drop_path, scratch_path
 
 
-def connected_components(edges: DataFrame, name: str = "components") -> DataFrame:
+def connected_components(edges: DataFrame, name: str = "components", temporary: list[str] | None = None) -> DataFrame:
     """edges(a, b) of any orderable type -> (node, label): the smallest node that is reachable, for every node of an edge.
 
     Null ends and loops are ignored, repeated edges are harmless, no edges give an empty table. Each round joins the edges
     with the labels (a node with very many edges is a streamed side that adaptive execution splits), takes the minimum
     with map-side combining, and follows the labels' own labels, so that long chains halve. Rounds are written to the
-    shared folder; nothing is collected but the number of changes.
+    shared folder; nothing is collected but the number of changes. The labels' path is added to `temporary`, if given.
     """
     spark = edges.sparkSession
     both = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b")
@@ -39,4 +39,7 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
         drop_path(spark, before)
         labels = new.select("node", "label")
         if not changed:
+            drop_path(spark, paths[0])  # the edges
+            if temporary is not None:
+                temporary.append(paths[-1])
             return labels

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from rillscore.llm.common import WordHashes, chunks, mix, shingle_hashes, tidy
 
 RADIUS, BLOCKS = 23, 8
+#: Characters of items that go to the tasks at once, about.
+BLOCK_CHARS = 32 << 20
 WORD = re.compile(r"\w+")
 
 
@@ -177,7 +179,7 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, k: int = 5, least: flo
     A window is as long as the item; a text of at least k words but fewer than the item is one window as a whole.
     An item of fewer than k words is one shingle, found where its words occur in a row; null and empty texts hold and are
     nothing; repeated rows are answered each; empty tables give an empty table. The items go to the tasks in blocks of
-    items_at_once (a pass over the documents each), so what is broadcast is bounded however many items there are. A task
+    items_at_once, or fewer long ones (a pass over the documents each), so what is broadcast is bounded however many items there are. A task
     works on one document at a time and on stretches of bounded length around shared shingles; nothing is shuffled.
     """
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -192,7 +194,8 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, k: int = 5, least: flo
 
 def _indexes(items: DataFrame, k: int, at_once: int) -> Iterator:
     """Broadcast indexes over blocks of about at_once items (item_id, text); one empty index without items."""
-    blocks = max(1, math.ceil(items.count() / at_once))
+    n, size = items.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    blocks = max(1, math.ceil(n / at_once), math.ceil(size / BLOCK_CHARS))
     for b in range(blocks):
         some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
         yield items.sparkSession.sparkContext.broadcast(ItemIndex.build([(r.item_id, r.text) for r in some], k))

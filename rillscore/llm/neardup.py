@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillscore.llm.common import WordHashes, chunks, mix, release, shingle_hashes, table, tidy, words_of
+from rillscore.llm.common import WordHashes, chunks, drop_path, mix, release, shingle_hashes, table, tidy, words_of
 from rillscore.llm.components import connected_components
 
 U64 = np.uint64
@@ -342,15 +342,17 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     """
     if not den <= 2 * num <= 2 * den:
         raise ValueError("the similarity must lie between 0.5 and 1")
+    temporary: list[str] = []
+    keep = lambda df, name: table(df, name, temporary)
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     sets = table(_sets_table(src, k, num, den), "sets")
     keys = sets.agg(F.sum("n_keys")).first()[0] or 0
-    shared = table(_shared_keys(src, k, num, den, max(240, keys * 12 // part_bytes)), "shared")
+    shared = keep(_shared_keys(src, k, num, den, max(240, keys * 12 // part_bytes)), "shared")
     pairs, members = shared.where("key IS NULL").select("x", "y"), shared.where("key IS NOT NULL").select("key", F.col("x").alias("node"))
     classes = sets.where("n > 0").groupBy("node").agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.count("*").alias("copies"))
     degrees = members.groupBy("node").agg(F.count("*").alias("degree")).unionByName(pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct().withColumn("degree", F.lit(0).cast("long")))
-    info = table(degrees.groupBy("node").agg(F.sum("degree").alias("degree")).join(classes.where("rep IS NOT NULL").drop("copies"), "node"), "info")
-    texts = table(_texts(src, info.select(F.col("rep").alias("id"), "node"), k), "texts")
+    info = keep(degrees.groupBy("node").agg(F.sum("degree").alias("degree")).join(classes.where("rep IS NOT NULL").drop("copies"), "node"), "info")
+    texts = keep(_texts(src, info.select(F.col("rep").alias("id"), "node"), k), "texts")
 
     apart = F.expr(f"{den - num} * (n_x + n_y) div {den + num}")
     alike_sizes = F.least("n_x", "n_y") * den >= F.greatest("n_x", "n_y") * num
@@ -362,45 +364,45 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
         """(x, y, link) of the pairs that sizes and then parity bits leave open, on their real shingles."""
         some = some.where("x <> y").select("x", "y").distinct().join(of(info, "x", "n"), "x").join(of(info, "y", "n"), "y").where(alike_sizes)
         some = some.join(of(texts, "x", "bits", "half"), "x").join(of(texts, "y", "bits", "half"), "y").where(differ <= apart).select("x", "y")
-        out = _verify(table(some, f"{name}-pairs"), texts, k)
+        out = _verify(keep(some, f"{name}-pairs"), texts, k)
         out = out.select("x", "y", (F.col("common") * den >= F.col("either") * num).alias("link"))
-        return table(out.dropDuplicates(["x", "y"]), name)
+        return keep(out.dropDuplicates(["x", "y"]), name)
 
     def stars(some: DataFrame) -> DataFrame:
         """(key, x, y): each member of a key with the key's pivot, the node that shares most keys (an original more than its copies)."""
         pivots = some.join(info.select("node", "degree"), "node").groupBy("key").agg(F.max(F.struct("degree", "node")).alias("p"))
         return some.join(pivots, "key").select("key", F.col("node").alias("x"), F.col("p.node").alias("y"))
 
-    first = table(stars(members), "stars")
+    first = keep(stars(members), "stars")
     seen = verify(first.select("x", "y").unionByName(pairs), "verified")
     # What the pivot doesn't link: a second pivot among those, then a join on rare shingles.
     told = first.join(seen, ["x", "y"], "left").select("key", F.col("x").alias("node"), (F.coalesce("link", F.lit(False)) | (F.col("x") == F.col("y"))).alias("near"))
-    told = table(told, "told")
+    told = keep(told, "told")
     away = told.where("NOT near")
     if away.limit(1).count():
         second = verify(stars(away.select("key", "node")), "verified2")
         seen = seen.unionByName(second)
-        comp = connected_components(seen.where("link").select(F.col("x").alias("a"), F.col("y").alias("b")), "first").withColumnRenamed("label", "comp")
-        sized = table(info.select("node", "n").join(comp, "node", "left").select("node", "n", F.coalesce("comp", "node").alias("comp")), "sized")
+        comp = connected_components(seen.where("link").select(F.col("x").alias("a"), F.col("y").alias("b")), "first", temporary).withColumnRenamed("label", "comp")
+        sized = keep(info.select("node", "n").join(comp, "node", "left").select("node", "n", F.coalesce("comp", "node").alias("comp")), "sized")
         # Members of keys that hold several components: linked ones share one of the rarest shingles among these nodes.
         undecided = told.select("key", "node").join(sized, "node").groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key")
-        undecided = table(told.join(undecided.join(away.select("key").distinct(), "key"), "key", "left_semi").select("node").distinct().join(sized, "node"), "undecided")
+        undecided = keep(told.join(undecided.join(away.select("key").distinct(), "key"), "key", "left_semi").select("node").distinct().join(sized, "node"), "undecided")
         amount = undecided.agg(F.sum("n")).first()[0] or 0
-        counted = table(_frequencies(texts.join(undecided.select("node"), "node", "left_semi").select("node", "text"), k, max(240, amount * 16 // part_bytes)), "frequencies")
+        counted = keep(_frequencies(texts.join(undecided.select("node"), "node", "left_semi").select("node", "text"), k, max(240, amount * 16 // part_bytes)), "frequencies")
         alone = counted.where("shingle IS NULL").groupBy("node").agg(F.sum("alone").alias("alone"))
         # Two linked sets have at least ceil(num * n / den) shingles of either in common, and 2 * num / (num + den) of the smaller one's.
         rest = undecided.join(alone, "node", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
         rest = rest.withColumn("first", F.expr(f"n + 1 - div(n * {num} + {den - 1}, {den})")).withColumn("fewer", F.expr(f"n + 1 - div(2 * n * {num} + {den + num - 1}, {den + num})")).where("alone < first")
         place = F.row_number().over(Window.partitionBy("node").orderBy("times", "shingle")) - 1 + F.col("alone")
         listed = counted.where("shingle IS NOT NULL").select("node", "shingle", "times").join(rest, "node").withColumn("at", place).where("at < first")
-        listed = table(listed.select("node", "shingle", "n", "comp", "at", (F.col("at") < F.col("fewer")).alias("fewer")), "rarest")
+        listed = keep(listed.select("node", "shingle", "n", "comp", "at", (F.col("at") < F.col("fewer")).alias("fewer")), "rarest")
         end = lambda df, c: df.select("shingle", F.col("node").alias(c), *[F.col(f).alias(f"{f}_{c}") for f in ("n", "comp", "at")])
         # What stands behind a pair's first common shingle bounds what they have in common.
         enough = F.expr(f"least(n_x - at_x, n_y - at_y) * {num + den} >= (n_x + n_y) * {num}")
         open_pairs = end(listed, "x").join(end(listed.where("fewer"), "y"), "shingle").where("x <> y AND n_y <= n_x AND comp_x <> comp_y").where(alike_sizes & enough)
         open_pairs = open_pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
         done = seen.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
-        seen = seen.unionByName(verify(table(open_pairs.distinct(), "open").join(done, ["x", "y"], "left_anti"), "verified3"))
+        seen = seen.unionByName(verify(keep(open_pairs.distinct(), "open").join(done, ["x", "y"], "left_anti"), "verified3"))
 
     reps = info.select("node", "rep")
     links = seen.where("link").select("x", "y")
@@ -408,10 +410,12 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     # Rows of one id with several texts are one vertex.
     twice = sets.where("n > 0 AND id IS NOT NULL").groupBy("id").agg(F.min("node").alias("p"), F.max("node").alias("q"), F.count_distinct("node").alias("c")).where("c > 1")
     alike = sets.join(twice.select("id"), "id", "left_semi").select("id", "node").join(classes.select("node", "rep"), "node").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    comp = connected_components(edges.unionByName(alike), "links").withColumnsRenamed({"node": "rep", "label": "component"})
+    comp = connected_components(edges.unionByName(alike), "links", temporary).withColumnsRenamed({"node": "rep", "label": "component"})
     n_links = links.select(F.explode(F.array("x", "y")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     of_node = classes.join(comp, "rep", "left").where("copies > 1 OR component IS NOT NULL").select("node", F.coalesce("component", "rep").alias("component")).join(n_links, "node", "left")
     of_node = table(of_node, "of-node")
+    for path in temporary:  # the result reads sets and of_node only
+        drop_path(docs.sparkSession, path)
     return sets.join(of_node, "node", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component", "id")).otherwise(F.col("id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links_seen")
     )
