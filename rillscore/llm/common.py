@@ -69,9 +69,9 @@ def bounded_sample(df: DataFrame, key: str, most: int, *columns: str, groups: tu
     rows = df.select(*columns, h.alias("_h"))
     if groups:
         each = max(1, most // max(1, len(groups[1])))
-        cut = F.coalesce(*[F.when(F.col(groups[0]) == g, F.lit(_cut(each, n))) for g, n in groups[1].items()], F.lit(-(2**63)))
+        cut = F.coalesce(*[F.when(F.col(groups[0]) == g, F.lit(hash_cut(each, n))) for g, n in groups[1].items()], F.lit(-(2**63)))
     else:
-        cut = F.lit(_cut(most, df.count()))
+        cut = F.lit(hash_cut(most, df.count()))
     some = rows.where(F.col("_h") <= cut).dropDuplicates(["_h"]).limit(2 * most + 100 * (1 + len(groups[1]) if groups else 1)).collect()
     some.sort(key=lambda r: r["_h"])
     if not groups:
@@ -85,7 +85,7 @@ def bounded_sample(df: DataFrame, key: str, most: int, *columns: str, groups: tu
     return out
 
 
-def _cut(most: int, n: int) -> int:
+def hash_cut(most: int, n: int) -> int:
     """Hashes up to this one are those of most * 1.3 + 30 of n rows, about."""
     share = min(1.0, (1.3 * most + 30) / max(1, n))
     return int(min(2**63 - 1, -(2**63) + share * 2**64))

@@ -1,7 +1,8 @@
 """Approximate nearest neighbours by inner product: a hierarchical k-means tree, searched best bin first.
 
-The tree is fitted on a bounded sample (`sample` vectors); every vector is then put into a leaf. A query walks the tree
-with a priority queue over the inner products with the bins' centres, raised by a share of what the bins' radius could add,
+The top of the tree is fitted on a bounded sample (`sample` vectors) and every vector is put into a leaf. Leaves that hold
+too many rows are split where their rows are, each on a bounded sample of its own, so that leaves do not grow with the
+input before there are about `most_leaves` of them. A query walks the tree with a priority queue over the inner products with the bins' centres, raised by a share of what the bins' radius could add,
 and visits leaves in that order. How many it visits is calibrated: for some of the queries the exact neighbours among all
 rows are found in blocks, and visits are widened until the leaves hold the wanted share of them. A query goes on beyond
 that until its leaves hold more rows than it wants.
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -19,11 +21,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillscore.llm.common import bounded_sample, table, tidy
+from rillscore.llm.common import bounded_sample, drop_path, hash_cut, table, tidy
 
 
 #: How much of a bin's radius counts for it; the whole radius would be an upper bound that hardly any vector reaches.
 REACH = 0.25
+#: A full leaf is split on about this many of its rows.
+SPLIT_SAMPLE = 2000
+INDEXED = "vec_id long, is_query boolean, v array<double>, leaf int"
 
 
 @dataclass
@@ -61,6 +66,20 @@ class KMeansTree:
         grow(np.arange(len(x)))
         return tree
 
+    def grafted(self, grown: dict[int, KMeansTree]) -> KMeansTree:
+        """The tree with a tree in place of some leaves; their first leaves and all other leaves keep the numbers."""
+        out = KMeansTree([*self.centers], [*self.radii], [[*c] for c in self.children], self.leaves)
+        place = {~c: (node, i) for node, cs in enumerate(self.children) for i, c in enumerate(cs) if c < 0}
+        for x, sub in grown.items():
+            node, leaf = len(out.centers), [x, *range(out.leaves, out.leaves + sub.leaves - 1)]
+            out.centers += sub.centers
+            out.radii += sub.radii
+            out.children += [[node + c if c >= 0 else ~leaf[~c] for c in cs] for cs in sub.children]
+            out.leaves += sub.leaves - 1
+            if x in place:
+                out.children[place[x][0]][place[x][1]] = node
+        return out
+
     def assign(self, x: np.ndarray) -> np.ndarray:
         """The leaf of each row: down the tree to the nearest centre."""
         out = np.zeros(len(x), np.int32)
@@ -137,7 +156,61 @@ def _top(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.95, sample: int = 20_000, calibrate: int = 128, branch: int = 8, leaf_rows: int = 100, block: int = 8192, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def _rows(indexed: DataFrame) -> dict[int, int]:
+    return {r.leaf: r.n for r in indexed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
+
+
+def _assigned(src: DataFrame, tree: KMeansTree) -> DataFrame:
+    def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(tree.assign(matrix(b.column(2))), pa.int32())], ["vec_id", "is_query", "v", "leaf"])
+
+    return src.mapInArrow(tidy(leaf), INDEXED)
+
+
+def _split(indexed: DataFrame, full: dict[int, int], branch: int, leaf_rows: int) -> dict[int, KMeansTree]:
+    """Trees for the leaves in `full` (leaf: its rows), of leaves of about leaf_rows rows; leaves of equal vectors get none.
+
+    Each is fitted in a task on the rows with the smallest hashes; equal rows count once, so that a group is bounded.
+    """
+    cuts = indexed.sparkSession.createDataFrame([(x, n, hash_cut(SPLIT_SAMPLE, n)) for x, n in full.items()], "leaf int, n long, cut long")
+    some = indexed.join(F.broadcast(cuts), "leaf").withColumn("h", F.xxhash64("vec_id", "v")).where("h <= cut").dropDuplicates(["leaf", "h"])  # a row per leaf
+
+    def fit(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("h").slice(0, SPLIT_SAMPLE)
+        sub = KMeansTree.fit(matrix(rows.column("v").combine_chunks()), branch, max(8, round(leaf_rows * rows.num_rows / rows.column("n")[0].as_py())))
+        return pa.table([rows.column("leaf").slice(0, 1), pa.array([pickle.dumps(sub)], pa.binary())], ["leaf", "tree"])
+
+    grown = {r.leaf: pickle.loads(r.tree) for r in some.select("leaf", "n", "h", "v").groupBy("leaf").applyInArrow(fit, "leaf int, tree binary").collect()}
+    return {x: sub for x, sub in grown.items() if sub.centers}
+
+
+def index(src: DataFrame, sample: int = 20_000, branch: int = 8, leaf_rows: int = 100, most_leaves: int = 20_000) -> tuple[KMeansTree, DataFrame, np.ndarray]:
+    """(tree, src(vec_id, is_query, v) with each row's leaf, rows of each leaf).
+
+    Leaves of more than 2 * leaf_rows rows are split, or of more than that many that most_leaves of them would hold all
+    rows: the tree that the driver and the tasks keep is bounded by a few times most_leaves centres. Where a leaf's sample was too
+    small for the leaves it needs, they are split once or twice more.
+    """
+    tree = KMeansTree.fit(np.array([r.v for r in bounded_sample(src, "vec_id", sample, "v")], np.float64), branch, leaf_rows)
+    written: list[str] = []
+    indexed = table(_assigned(src, tree), "indexed", written)
+    counts = _rows(indexed)
+    target = max(leaf_rows, math.ceil(sum(counts.values()) / most_leaves))
+    for most in (2 * target, 16 * target, 16 * target):
+        full = {x: n for x, n in counts.items() if n > most}
+        grown = _split(indexed, full, branch, target) if full else {}
+        if not grown:
+            break
+        tree = tree.grafted(grown)
+        indexed = table(_assigned(indexed.drop("leaf"), tree), "indexed", written)
+        drop_path(src.sparkSession, written.pop(0))
+        counts = _rows(indexed)
+    return tree, indexed, np.array([counts.get(x, 0) for x in range(tree.leaves)], np.int64)
+
+
+def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.95, sample: int = 20_000, calibrate: int = 128, branch: int = 8, leaf_rows: int = 100, most_leaves: int = 20_000, block: int = 8192, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """Each query's k nearest rows by inner product: query_id, rank (from 1), vec_id, score (double, on the vectors given).
 
     Queries are the rows where is_query holds, candidates all rows but those of the query's own id. Vectors that are null,
@@ -155,16 +228,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.
     if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     src = src.where(F.size("v") == sizes[0]["dim"])
-    picked = bounded_sample(src, "vec_id", sample, "v")
-    tree = KMeansTree.fit(np.array([r.v for r in picked], np.float64), branch, leaf_rows)
-
-    def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(tree.assign(matrix(b.column(2))), pa.int32())], ["vec_id", "is_query", "v", "leaf"])
-
-    indexed = table(src.mapInArrow(tidy(leaf), "vec_id long, is_query boolean, v array<double>, leaf int"), "indexed")
-    counts = {r.leaf: r.n for r in indexed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}  # a row per leaf: at most 2 * sample / leaf_rows
+    tree, indexed, rows = index(src, sample, branch, leaf_rows, most_leaves)
     queries = indexed.where("is_query")
 
     # Calibration: exact neighbours of some queries among all rows, a block at a time.
@@ -187,12 +251,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.
 
     # Blocks: a leaf's vectors in v_blocks, its queries in q_blocks, each pair of blocks a group of bounded size.
     n_queries = sum(1 for _ in some) if len(some) < calibrate else queries.count()
-    rows = np.array([counts.get(x, 0) for x in range(tree.leaves)], np.int64)
     repeats = queries.groupBy("vec_id").count().agg(F.max("count")).first()[0]  # a query's own rows are no candidates
-    v_blocks = [max(1, math.ceil(counts.get(x, 0) / block)) for x in range(tree.leaves)]
+    v_blocks = F.broadcast(spark.createDataFrame([(x, math.ceil(n / block)) for x, n in enumerate(rows.tolist()) if n], "leaf int, blocks int"))  # a row per leaf
     q_blocks = max(1, math.ceil(n_queries * visits / max(1, tree.leaves) / block))
-    blocks_of = F.element_at(F.array(*map(F.lit, v_blocks)), F.col("leaf") + 1)
-    left = indexed.select("vec_id", "v", "leaf", F.pmod(F.xxhash64("vec_id"), blocks_of).cast("int").alias("vb"))
+    left = indexed.join(v_blocks, "leaf").select("vec_id", "v", "leaf", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int").alias("vb"))
     left = left.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +266,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.
     walkers = max(spark.sparkContext.defaultParallelism, math.ceil(n_queries / 2000))
     right = queries.select("vec_id", "v").repartition(walkers, "vec_id").mapInArrow(tidy(walk), "vec_id long, v array<double>, leaves array<int>")
     right = right.select("vec_id", "v", F.explode("leaves").alias("leaf")).withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(q_blocks)).cast("int"))
-    right = right.withColumn("vb", F.explode(F.sequence(F.lit(0), blocks_of - 1)))
+    right = right.join(v_blocks, "leaf").withColumn("vb", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:

@@ -145,6 +145,50 @@ def test_a_query_is_never_short_of_rows():
     assert sorted(tree.visit(x[0], tree.leaves)) == list(range(tree.leaves))
 
 
+def clustered(n, seed=5):
+    rng = np.random.default_rng(seed)
+    at = rng.normal(size=(n // 60, 8))[rng.integers(0, n // 60, n)] + rng.normal(0, 0.05, (n, 8))
+    return at / np.linalg.norm(at, axis=1, keepdims=True)
+
+
+def test_leaves_do_not_grow_with_the_input(spark):
+    share = {}
+    for n in (3000, 12_000):
+        x = clustered(n)
+        src = spark.createDataFrame([(i, i % 50 == 0, v) for i, v in enumerate(x.tolist())], "vec_id long, is_query boolean, v array<double>").repartition(4)
+        tree, indexed, rows = search.index(src, sample=400, leaf_rows=25)
+        leaf = np.zeros(n, int)
+        for r in indexed.select("vec_id", "leaf").collect():
+            leaf[r.vec_id] = r.leaf
+        assert rows.sum() == n and (np.bincount(leaf, minlength=tree.leaves) == rows).all() and (tree.assign(x) == leaf).all()
+        assert np.percentile(rows, 95) <= 50 and tree.leaves >= n / 100
+        assert sorted(tree.visit(x[0], tree.leaves)) == list(range(tree.leaves))
+        seen = []
+        for q in range(0, n, 100):  # rows of the leaves up to the one that completes 95 % of the nearest
+            near = np.argsort(-(x @ x[q]))[1:21]
+            order = tree.visit(x[q], tree.leaves)
+            place = {v: i for i, v in enumerate(order)}
+            seen.append(rows[order[: sorted(place[leaf[j]] for j in near)[18] + 1]].sum())
+        share[n] = np.mean(seen) / n
+    assert share[12_000] < 0.5 * share[3000] and share[12_000] < 0.1
+
+
+def test_search_with_a_grown_tree(spark):
+    x = clustered(3000)
+    x = np.concatenate([x, np.repeat(x[7:8], 400, axis=0)])  # a leaf of equal vectors is left whole
+    df = spark.createDataFrame([*enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {}
+    for r in search.search(df, F.col("vec_id") % 50 == 0, k=5, sample=300, leaf_rows=20, block=64).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert sorted(got) == list(range(0, len(x), 50))
+    hits = 0
+    for q, found in got.items():
+        score = (x * x[q]).sum(1)
+        score[q] = -np.inf
+        hits += len(found & set(np.lexsort((np.arange(len(x)), -score))[:5].tolist()))
+    assert hits >= 0.9 * 5 * len(got)
+
+
 @needs_tables
 def test_search_recall(spark):
     rows = {r.vec_id: np.array(r.embedding, np.float64) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()}
