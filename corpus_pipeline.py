@@ -43,18 +43,20 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates (five-word shingles, 0.8) the document with the smallest id stays, once.
 
-    The ids that go are written first, so that Spark knows their size when it decides how to join them. Rows that repeat
-    an id leave the smallest row; rows without an id stay.
+    Where an id is repeated, rows take part and not ids: texts that are not alike all stay, of alike ones the row with the
+    smallest id and then the smallest hash of its columns. Texts without words are in no group and stay, and so do rows
+    without an id. The ids that go are written first, so that Spark knows their size when it decides how to join them.
     """
-    groups = table(near_duplicates(docs, k=5, num=80, den=100).select("doc_id", "component_id"), "groups")
-    gone = table(groups.where("component_id <> doc_id").select("doc_id").distinct(), "gone")
-    kept = docs.select(*COLUMNS).join(gone, "doc_id", "left_anti")
-    repeated = table(groups.where("component_id = doc_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    if repeated.limit(1).count():
-        rest = [c for c in COLUMNS if c != "doc_id"]
-        once = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("r")).select("doc_id", *[F.col(f"r.{c}").alias(c) for c in rest])
-        kept = kept.join(repeated, "doc_id", "left_anti").unionByName(once)
-    return kept.select(*COLUMNS)
+    docs, alike = docs.select(*COLUMNS), {"k": 5, "num": 80, "den": 100}
+    if docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
+        rows = table(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+        groups = near_duplicates(rows.where("doc_id IS NOT NULL"), id_col="_row", **alike).select("_row", "component_id")
+        first = F.min(F.struct("doc_id", "_hash", "_row")).alias("first")
+        chosen = groups.join(rows.select("_row", "doc_id", F.xxhash64(*COLUMNS).alias("_hash")), "_row").groupBy("component_id").agg(first)
+        return rows.join(table(chosen.select("first._row"), "chosen"), "_row", "left_semi").unionByName(rows.where("doc_id IS NULL")).select(*COLUMNS)
+    groups = near_duplicates(docs, **alike)
+    gone = table(groups.where("component_id <> doc_id").select("doc_id"), "gone")
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
