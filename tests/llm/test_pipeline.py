@@ -71,3 +71,14 @@ def test_repeated_rows_and_nulls(spark, docs):
     left = sorted((r.doc_id is None, r.doc_id or 0) for r in corpus_pipeline.near_duplicate(spark, docs, SF).collect())
     # 2 is a near copy of 1, 3 equals it but for case, 9 repeats 8; rows without an id stay.
     assert left == [(False, i) for i in (1, 4, 5, 6, 7, 8, 10, 11, 12)] + [(True, 0)] * 2
+
+
+def test_an_id_with_several_texts(spark):
+    """Texts that are not alike stay under one id; copies of either go, and an id does not join their groups."""
+    one = "the old harbour lay quiet under a grey sky while the boats came slowly home one after another"
+    two = "nothing of that was known to those who had spent the whole summer counting birds in the marshes"
+    rows = [(1, one, "en"), (1, two, "en"), (1, one, "en"), (2, one + " today", "en"), (3, two.upper(), "en"), (4, "", "en"), (4, None, "en"), (None, one, "en"), (5, "a text of its own with words of its own", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "'s' AS source", "length(text) AS n_chars", "0 AS component_id")
+    left = corpus_pipeline.near_duplicate(spark, df, SF)
+    assert left.columns == corpus_pipeline.COLUMNS
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=str) == sorted([(1, one), (1, two), (4, ""), (4, None), (5, rows[-1][1]), (None, one)], key=str)
