@@ -2,10 +2,13 @@
 
 The top of the tree is fitted on a bounded sample (`sample` vectors) and every vector is put into a leaf. Leaves that hold
 too many rows are split where their rows are, each on a bounded sample of its own, so that leaves do not grow with the
-input before there are about `most_leaves` of them. A query walks the tree with a priority queue over the inner products with the bins' centres, raised by a share of what the bins' radius could add,
-and visits leaves in that order. How many it visits is calibrated: for some of the queries the exact neighbours among all
-rows are found in blocks, and visits are widened until the leaves hold the wanted share of them. A query goes on beyond
-that until its leaves hold more rows than it wants.
+input before there are about `most_leaves` of them. For the search every vector is put into its nearest `copies` leaves
+and written there in packed chunks. A query ranks leaves by the inner products with their centres, raised by a share of
+what the leaves' radius could add, and visits those above a cut of its own. How far the cut goes down is calibrated: for
+some of the queries the exact neighbours among all rows are found, and cuts are lowered until the leaves hold the wanted
+share of them. A task takes a block of queries and reads the chunks one after another; the queries that visit a leaf meet
+it in one matrix product, whose rough scores are held against the queries' kth best so far. Neither queries nor pairs are
+shuffled. A query that is short of rows in the end visits the other leaves too.
 """
 
 from __future__ import annotations
@@ -18,8 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from rillscore.llm.common import bounded_sample, drop_path, hash_cut, table, tidy
 
@@ -28,7 +34,11 @@ from rillscore.llm.common import bounded_sample, drop_path, hash_cut, table, tid
 REACH = 0.25
 #: A full leaf is split on about this many of its rows.
 SPLIT_SAMPLE = 2000
-INDEXED = "vec_id long, is_query boolean, v array<double>, leaf int"
+#: Leaves are ranked against this many of them to set a query's cut.
+CUT_LEAVES = 4096
+#: Scores of a product that is looked at in one piece; hits that are kept before they are merged into the best.
+TILE, HITS = 1 << 18, 1 << 20
+QUERIES = {t: pa.schema([("vec_id", pa.int64()), ("v", pa.list_(a))]) for t, a in ((np.float32, pa.float32()), (np.float64, pa.float64()))}
 
 
 @dataclass
@@ -125,9 +135,70 @@ def kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) ->
     return c, nearest(x, c)
 
 
-def matrix(column: pa.Array) -> np.ndarray:
+class Leaves:
+    """The leaves of a tree as one list of centres, in groups of near ones, so that whole batches are ranked by matrix products."""
+
+    def __init__(self, tree: KMeansTree, dim: int, kind: type):
+        self.centers, self.radii = np.zeros((tree.leaves, dim), kind), np.zeros(tree.leaves, kind)
+        for c, r, children in zip(tree.centers, tree.radii, tree.children, strict=True):
+            at = [i for i, child in enumerate(children) if child < 0]
+            to = [~children[i] for i in at]
+            self.centers[to], self.radii[to] = c[at], r[at]
+        self.ranks = np.concatenate([self.centers, self.radii[:, None]], axis=1)
+        rng = np.random.default_rng(11)
+        self.groups, to = kmeans(self.centers, min(tree.leaves, math.ceil(math.sqrt(tree.leaves))), rng)
+        self.members = [np.flatnonzero(to == g) for g in range(len(self.groups))]
+        self.some = np.sort(rng.choice(tree.leaves, min(tree.leaves, CUT_LEAVES), replace=False))
+
+    def spread(self, x: np.ndarray, copies: int, beam: int = 8) -> tuple[np.ndarray, np.ndarray]:
+        """(row, leaf) of each row's `copies` nearest leaves, looked for in its nearest groups; a row has one leaf at least."""
+        near = x @ self.groups.T - (self.groups * self.groups).sum(1) / 2
+        if len(self.groups) > beam:
+            near = np.argpartition(-near, beam - 1, axis=1)[:, :beam]
+        else:
+            near = np.tile(np.arange(len(self.groups)), (len(x), 1))
+        by = np.argsort(near.ravel(), kind="stable")
+        ends = np.searchsorted(near.ravel()[by], np.arange(len(self.groups) + 1))
+        score, leaf = np.full((len(x), copies), -np.inf, x.dtype), np.full((len(x), copies), -1, np.int32)
+        for g, of in enumerate(self.members):
+            rows = by[ends[g] : ends[g + 1]] // near.shape[1]
+            if not len(rows) or not len(of):
+                continue
+            c = self.centers[of]
+            s = x[rows] @ c.T - (c * c).sum(1) / 2
+            best_s, best_l, line = score[rows], leaf[rows], np.arange(len(rows))
+            for _ in range(min(copies, len(of))):
+                top = s.argmax(1)
+                value, worst = s[line, top], best_s.argmin(1)
+                better = value > best_s[line, worst]
+                best_s[line[better], worst[better]], best_l[line[better], worst[better]] = value[better], of[top[better]]
+                s[line, top] = -np.inf
+            score[rows], leaf[rows] = best_s, best_l
+        row, j = np.nonzero(leaf >= 0)
+        return row, leaf[row, j]
+
+    def asking(self, q: np.ndarray) -> np.ndarray:
+        """The queries with the share of a leaf's radius that counts for them as one more component."""
+        return np.concatenate([q, REACH * np.sqrt((q * q).sum(1))[:, None]], axis=1)
+
+    def bounds(self, q: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """(leaf, query): what the queries, as `asking` gives them, rank the leaves `at` by."""
+        return self.ranks[at] @ q.T
+
+    def cuts(self, q: np.ndarray, share: float) -> np.ndarray:
+        """The bound from which on a query has this share of the leaves, told by some of them."""
+        if share >= 1:
+            return np.full(len(q), -np.inf, q.dtype)
+        last = min(len(self.some), max(1, math.ceil(share * len(self.some))))
+        out = np.empty(len(q), q.dtype)
+        for a in range(0, len(q), 1024):
+            out[a : a + 1024] = -np.partition(-self.bounds(q[a : a + 1024], self.some).T, last - 1, axis=1)[:, last - 1]
+        return out - 1e-5 * np.abs(out)  # products of another shape are rounded otherwise
+
+
+def matrix(column: pa.Array, kind: type = np.float64) -> np.ndarray:
     flat = column.flatten()
-    return np.asarray(flat.to_numpy(zero_copy_only=False), np.float64).reshape(len(column), -1)
+    return np.asarray(flat.to_numpy(zero_copy_only=False), kind).reshape(len(column), -1)
 
 
 def best(q: np.ndarray, x: np.ndarray, qid: np.ndarray, xid: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,13 +231,25 @@ def _rows(indexed: DataFrame) -> dict[int, int]:
     return {r.leaf: r.n for r in indexed.groupBy("leaf").agg(F.count("*").alias("n")).collect()}
 
 
+def _joined(batches: Iterator[pa.RecordBatch], most: int = 65_536) -> Iterator[pa.RecordBatch]:
+    """Batches of about `most` rows: what a walk through all nodes costs is the same for any number of rows."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.num_rows for x in held) >= most:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _assigned(src: DataFrame, tree: KMeansTree) -> DataFrame:
     def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _joined(batches):
             if b.num_rows:
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(tree.assign(matrix(b.column(2))), pa.int32())], ["vec_id", "is_query", "v", "leaf"])
 
-    return src.mapInArrow(tidy(leaf), INDEXED)
+    return src.mapInArrow(tidy(leaf), StructType([*src.schema.fields, StructField("leaf", IntegerType())]))
 
 
 def _split(indexed: DataFrame, full: dict[int, int], branch: int, leaf_rows: int) -> dict[int, KMeansTree]:
@@ -186,7 +269,7 @@ def _split(indexed: DataFrame, full: dict[int, int], branch: int, leaf_rows: int
     return {x: sub for x, sub in grown.items() if sub.centers}
 
 
-def index(src: DataFrame, sample: int = 20_000, branch: int = 8, leaf_rows: int = 100, most_leaves: int = 20_000) -> tuple[KMeansTree, DataFrame, np.ndarray]:
+def index(src: DataFrame, sample: int = 20_000, branch: int = 8, leaf_rows: int = 100, most_leaves: int = 50_000) -> tuple[KMeansTree, DataFrame, np.ndarray]:
     """(tree, src(vec_id, is_query, v) with each row's leaf, rows of each leaf).
 
     Leaves of more than 2 * leaf_rows rows are split, or of more than that many that most_leaves of them would hold all
@@ -210,72 +293,200 @@ def index(src: DataFrame, sample: int = 20_000, branch: int = 8, leaf_rows: int
     return tree, indexed, np.array([counts.get(x, 0) for x in range(tree.leaves)], np.int64)
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.95, sample: int = 20_000, calibrate: int = 128, branch: int = 8, leaf_rows: int = 100, most_leaves: int = 20_000, block: int = 8192, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def _packed(indexed: DataFrame, leaves: Leaves, rows: np.ndarray, kind: type, copies: int, keep: int, block: int) -> DataFrame:
+    """Chunks of the leaves: leaf, and the ids, row numbers and vectors of some of its rows as bytes.
+
+    Of equal vectors in a chunk only the `keep` smallest ids are kept: ties go to the smaller id, so no query takes more.
+    """
+    blocks = np.maximum(1, -(-copies * rows // block))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _joined(batches, 32_768):
+            if b.num_rows:
+                row, leaf = leaves.spread(matrix(b.column(2), kind), copies)
+                number = b.column(1).to_numpy()[row]
+                yield pa.RecordBatch.from_arrays([*b.take(pa.array(row)).columns, pa.array(leaf, pa.int32()), pa.array((number % blocks[leaf]).astype(np.int32))], ["vec_id", "number", "v", "leaf", "part"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            ids, number, x, leaf = b.column(0).to_numpy(), b.column(1).to_numpy(), matrix(b.column(2), kind), b.column(3).to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(leaf)) + 1).tolist(), len(leaf)]
+            out = []
+            for a, z in zip(edges, edges[1:], strict=False):
+                at = np.arange(a, z)
+                if z - a > keep and np.unique(x[a:z, 0], return_counts=True)[1].max() > keep:
+                    at = a + np.sort(_few_equal(x[a:z], ids[a:z], keep))
+                out.append((int(leaf[a]), ids[at].tobytes(), number[at].tobytes(), x[at].tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["leaf", "ids", "numbers", "v"])
+
+    total = copies * int(rows.sum())
+    parts = max(indexed.sparkSession.sparkContext.defaultParallelism, math.ceil(total * len(leaves.centers[0]) * np.dtype(kind).itemsize / (16 << 20)))
+    src = indexed.select("vec_id", F.monotonically_increasing_id().alias("number"), "v")
+    out = src.mapInArrow(tidy(spread), StructType([*src.schema.fields, StructField("leaf", IntegerType()), StructField("part", IntegerType())])).repartition(parts, "leaf", "part")
+    return out.sortWithinPartitions("leaf", "part", "vec_id").mapInArrow(tidy(pack), "leaf int, ids binary, numbers binary, v binary")
+
+
+def _few_equal(x: np.ndarray, ids: np.ndarray, keep: int) -> np.ndarray:
+    """The rows whose id is among the `keep` smallest of its equal vectors."""
+    same = np.unique(x, axis=0, return_inverse=True)[1].ravel()
+    order = np.lexsort((ids, same))
+    first = np.searchsorted(same[order], same[order])
+    return order[np.arange(len(order)) - first < keep]
+
+
+def _chunks(files: list[str], kind: type, dim: int) -> Iterator[tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]]:
+    """Some leaves at a time, and the ids, row numbers and vectors of each, read from the shared folder."""
+    for f in files:
+        fs, path = pyarrow.fs.FileSystem.from_uri(f)
+        with fs.open_input_file(path) as source:
+            for b in pq.ParquetFile(source).iter_batches(batch_size=64, use_threads=False):
+                parts = [[np.frombuffer(x.as_buffer(), t) for x in b.column(c)] for c, t in (("ids", np.int64), ("numbers", np.int64), ("v", kind))]
+                yield b.column("leaf").to_numpy(), [(i, n, v.reshape(-1, dim)) for i, n, v in zip(*parts, strict=True)]
+
+
+class Best:
+    """The k best rows of each query of a block so far; thr: the score that a row must reach to be among them."""
+
+    def __init__(self, q: np.ndarray, qid: np.ndarray, k: int, keep: int, kind: type):
+        self.q, self.qid, self.k, self.keep = q, qid, k, keep
+        self.rough, self.norm = q.astype(kind), np.sqrt((q * q).sum(1))
+        self.thr = np.full(len(q), -np.inf)
+        self.error = 2 * q.shape[1] * float(np.finfo(kind).eps)
+        self.hits: list[tuple[np.ndarray, ...]] = []
+        self.n = 0
+        self.best = (np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+
+    def meet(self, who: np.ndarray, ids: np.ndarray, numbers: np.ndarray, x: np.ndarray) -> None:
+        """The queries `who` see the rows x: products in the vectors' precision pick, the score of a pick is computed in double."""
+        longest = math.sqrt(float((x * x).sum(1).max()))
+        step = max(16, TILE // len(x))
+        for a in range(0, len(who), step):
+            some = who[a : a + step]
+            s = self.rough[some] @ x.T
+            slack = self.error * self.norm[some] * longest + 1e-36  # of rounding: what may reach the bound is a hit
+            thr = self.thr[some]
+            if len(x) >= self.keep and (new := np.flatnonzero(thr == -np.inf)).size:
+                thr[new] = np.partition(s[new], -self.keep, axis=1)[:, -self.keep] - slack[new]
+                self.thr[some[new]] = thr[new]
+            low = thr - slack
+            full = np.flatnonzero(s.max(axis=1) >= low)
+            if not len(full):
+                continue
+            i, j = np.nonzero(s[full] >= low[full, None])
+            i = some[full[i]]
+            other = ids[j] != self.qid[i]
+            i, j = i[other], j[other]
+            self.hits.append((i.astype(np.int32), numbers[j], ids[j], (x[j] * self.q[i]).sum(1)))
+            self.n += len(i)
+            if self.n >= HITS:
+                self.merge()
+
+    def merge(self) -> None:
+        i, number, ids, score = (np.concatenate(c) for c in zip(self.best, *self.hits, strict=True))
+        good = score >= self.thr[i]
+        i, number, ids, score = i[good], number[good], ids[good], score[good]
+        order = np.lexsort((number, ids, -score, i))
+        i, number, ids, score = i[order], number[order], ids[order], score[order]
+        new = np.ones(len(i), bool)
+        new[1:] = (i[1:] != i[:-1]) | (number[1:] != number[:-1])  # a row has copies in several leaves
+        i, number, ids, score = i[new], number[new], ids[new], score[new]
+        rank = np.arange(len(i)) - np.searchsorted(i, i)
+        top = rank < self.k
+        self.best, self.hits, self.n = (i[top], number[top], ids[top], score[top]), [], 0
+        last = rank == self.k - 1
+        self.thr[i[last]] = np.maximum(self.thr[i[last]], score[last])
+
+    def short(self) -> np.ndarray:
+        """The queries with fewer than k rows."""
+        self.merge()
+        return np.flatnonzero(np.bincount(self.best[0], minlength=len(self.q)) < self.k)
+
+
+def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.95, sample: int = 20_000, calibrate: int = 128, branch: int = 8, leaf_rows: int = 100, most_leaves: int = 50_000, block: int = 8192, id_col: str = "vec_id", vec_col: str = "embedding", copies: int = 2, most_queries: int = 32_768) -> DataFrame:
     """Each query's k nearest rows by inner product: query_id, rank (from 1), vec_id, score (double, on the vectors given).
 
     Queries are the rows where is_query holds, candidates all rows but those of the query's own id. Vectors that are null,
     zero, of another length than most, or hold null or non-finite components take no part, as queries or as candidates.
     Ties go to the smaller id; with fewer than k candidates all are returned; repeated rows are candidates each; no rows
-    give none. Every vector is indexed. Leaves and queries meet in blocks of bounded size (a leaf with very many equal
-    vectors becomes many blocks), a block returns k rows per query, and ranks are taken per query.
+    give none. Every vector is indexed, in `copies` leaves. Blocks of about `most_queries` queries read the leaves from the
+    shared folder, in chunks of bounded size (a leaf with very many equal vectors becomes many chunks).
     """
     spark = vectors.sparkSession
-    vec = F.transform(F.col(vec_col), lambda v: v.cast("double"))
+    of = vectors.schema[vec_col].dataType.elementType.typeName()
+    vec = F.col(vec_col) if of == "float" else F.transform(F.col(vec_col), lambda v: v.cast("double"))
     src = vectors.select(F.col(id_col).cast("long").alias("vec_id"), is_query.alias("is_query"), vec.alias("v"))
     fine = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     src = src.where("vec_id IS NOT NULL AND v IS NOT NULL").where(fine)
-    sizes = src.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(1).collect()
+    sizes = src.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("count"), F.max(F.greatest(F.array_max("v"), -F.array_min("v"))).alias("most")).orderBy(F.desc("count"), "dim").limit(1).collect()
     if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    src = src.where(F.size("v") == sizes[0]["dim"])
+    dim = sizes[0]["dim"]
+    # Products are in single precision only where nothing is lost: vectors given so, whose products stay in its range.
+    kind = np.float32 if of == "float" and 1e-10 < sizes[0]["most"] < 1e15 else np.float64
+    src = src.where(F.size("v") == dim)
     tree, indexed, rows = index(src, sample, branch, leaf_rows, most_leaves)
-    queries = indexed.where("is_query")
+    leaves = Leaves(tree, dim, kind)
+    queries = indexed.where("is_query").select("vec_id", "v")
+    ids = queries.groupBy("vec_id").count().agg(F.sum("count"), F.max("count")).first()
+    n_queries, repeats = ids[0] or 0, ids[1]  # a query's own rows are no candidates
+    if not n_queries:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    keep = k + repeats
+    packed = table(_packed(indexed, leaves, rows, kind, copies, keep, block), "packed")
+    files = sorted(packed.inputFiles())
 
-    # Calibration: exact neighbours of some queries among all rows, a block at a time.
+    # Calibration: exact neighbours of some queries among all rows, and the leaves that hold them.
     some = bounded_sample(queries, "vec_id", calibrate, "vec_id", "v")
-    if not some:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     q, qid = np.array([r.v for r in some], np.float64), np.array([r.vec_id for r in some], np.int64)
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                a, i, s = best(q, matrix(b.column(1)), qid, b.column(0).to_numpy(), k)
-                at = dict(zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(i, pa.int64()), pa.array(s, pa.float64()), pa.array([at[x] for x in i.tolist()], pa.int32())], ["query_id", "vec_id", "score", "leaf"])
-
-    truth = _top(indexed.select("vec_id", "v", "leaf").mapInArrow(tidy(exact), "query_id long, vec_id long, score double, leaf int"), k).select("query_id", "leaf").collect()
-    order = {i: {x: p for p, x in enumerate(tree.visit(v, tree.leaves))} for i, v in zip(qid.tolist(), q, strict=True)}
-    needed = np.sort([order[r.query_id][r.leaf] + 1 for r in truth])
-    visits = int(needed[min(len(needed) - 1, math.ceil(recall * len(needed)) - 1)]) if len(needed) else tree.leaves
-
-    # Blocks: a leaf's vectors in v_blocks, its queries in q_blocks, each pair of blocks a group of bounded size.
-    n_queries = sum(1 for _ in some) if len(some) < calibrate else queries.count()
-    repeats = queries.groupBy("vec_id").count().agg(F.max("count")).first()[0]  # a query's own rows are no candidates
-    v_blocks = F.broadcast(spark.createDataFrame([(x, math.ceil(n / block)) for x, n in enumerate(rows.tolist()) if n], "leaf int, blocks int"))  # a row per leaf
-    q_blocks = max(1, math.ceil(n_queries * visits / max(1, tree.leaves) / block))
-    left = indexed.join(v_blocks, "leaf").select("vec_id", "v", "leaf", F.pmod(F.xxhash64("vec_id"), "blocks").cast("int").alias("vb"))
-    left = left.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
-
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if b.num_rows:
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array([tree.visit(v, visits, rows, k + repeats) for v in matrix(b.column(1))], pa.list_(pa.int32()))], ["vec_id", "v", "leaves"])
-
-    # A number of partitions of its own, else they would be put together by the size of what they read, not of what they make.
-    walkers = max(spark.sparkContext.defaultParallelism, math.ceil(n_queries / 2000))
-    right = queries.select("vec_id", "v").repartition(walkers, "vec_id").mapInArrow(tidy(walk), "vec_id long, v array<double>, leaves array<int>")
-    right = right.select("vec_id", "v", F.explode("leaves").alias("leaf")).withColumn("qb", F.pmod(F.xxhash64("vec_id"), F.lit(q_blocks)).cast("int"))
-    right = right.join(v_blocks, "leaf").withColumn("vb", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
-
-    def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            found = best(np.zeros((0, 1)), np.zeros((0, 1)), np.zeros(0, np.int64), np.zeros(0, np.int64), k)
-        else:
-            x, q = (matrix(t.column("v").combine_chunks()) for t in (left, right))
-            found = best(q, x, right.column("vec_id").to_numpy(), left.column("vec_id").to_numpy(), k)
-        return pa.table([pa.array(found[0], pa.int64()), pa.array(found[1], pa.int64()), pa.array(found[2], pa.float64())], ["query_id", "vec_id", "score"])
-
-    by = ["leaf", "vb", "qb"]
-    pairs = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInArrow(meet, "query_id long, vec_id long, score double")
-    return _top(pairs, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+            found, where = Best(q, qid, k, keep, kind), {}
+            for at, chunks in _chunks(b.column(0).to_pylist(), kind, dim):
+                for leaf, chunk in zip(at.tolist(), chunks, strict=True):
+                    found.meet(np.arange(len(q)), *chunk)
+                    for number in {n for h in found.hits for n in h[1].tolist()}:
+                        where.setdefault(number, set()).add(leaf)
+                    found.merge()
+            pairs = [(qid[i], n, x, s, leaf) for i, n, x, s in zip(*found.best, strict=True) for leaf in sorted(where[n])]
+            if pairs:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in map(np.array, zip(*pairs, strict=True))], ["query_id", "number", "vec_id", "score", "leaf"])
+
+    read = spark.createDataFrame([(f,) for f in files], "file string").repartition(min(len(files), 4 * spark.sparkContext.defaultParallelism))
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id", "number")  # a row is there once for each of its leaves
+    truth = read.mapInArrow(tidy(exact), "query_id long, number long, vec_id long, score double, leaf long").withColumn("rank", F.dense_rank().over(w)).where(F.col("rank") <= k)
+    held: dict[tuple[int, int], list[int]] = {}
+    for r in truth.select("query_id", "number", "leaf").collect():
+        held.setdefault((r.query_id, r.number), []).append(r.leaf)
+    ranked = {i: (v[None, :], np.sort(leaves.bounds(v[None, :], leaves.some)[:, 0])) for i, v in zip(qid.tolist(), leaves.asking(q.astype(kind)), strict=True)}
+    needed = np.sort([len(leaves.some) - np.searchsorted(ranked[i][1], leaves.bounds(ranked[i][0], np.array(at)).max(), "right") + 1 for (i, _), at in held.items()])
+    share = float(needed[min(len(needed) - 1, math.ceil(recall * len(needed)) - 1)]) / len(leaves.some) if len(needed) else 1.0
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        all_of = pa.Table.from_batches([b for b in batches if b.num_rows] or [], QUERIES[kind])
+        for a in range(0, all_of.num_rows, most_queries):
+            part = all_of.slice(a, most_queries).combine_chunks()
+            found = Best(matrix(part.column("v").combine_chunks()), part.column("vec_id").to_numpy(), k, keep, kind)
+            asking = leaves.asking(found.rough)
+            cut = leaves.cuts(asking, share)
+            todo, more = np.arange(len(cut)), False
+            while len(todo):
+                for at, chunks in _chunks(files, kind, dim):
+                    bounds = leaves.bounds(asking if len(todo) == len(asking) else asking[todo], at)
+                    meets = bounds < cut[todo] if more else bounds >= cut[todo]
+                    for chunk, who in zip(chunks, meets, strict=True):
+                        if (who := np.flatnonzero(who)).size:
+                            found.meet(todo[who], *chunk)
+                found.merge()
+                todo, more = (found.short(), True) if not more else ([], True)  # who is short of rows meets the other leaves too
+            i, _, x, s = found.best
+            rank = np.arange(len(i)) - np.searchsorted(i, i) + 1
+            yield pa.RecordBatch.from_arrays([pa.array(found.qid[i]), pa.array(rank.astype(np.int32)), pa.array(x), pa.array(s)], ["query_id", "rank", "vec_id", "score"])
+
+    # Whole rounds of tasks, of blocks of equal size; a task reads all chunks, so blocks are as large as memory allows.
+    cores = spark.sparkContext.defaultParallelism
+    blocks = cores * math.ceil(n_queries / most_queries / cores)
+    out = queries.repartition(blocks, "vec_id").mapInArrow(tidy(answer), "query_id long, rank int, vec_id long, score double")
+    return _top(out.drop("rank"), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score") if repeats > 1 else out

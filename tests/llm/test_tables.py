@@ -189,6 +189,35 @@ def test_search_with_a_grown_tree(spark):
     assert hits >= 0.9 * 5 * len(got)
 
 
+def test_search_sends_no_query_to_leaves(spark):
+    x = np.random.default_rng(8).normal(size=(4000, 16)).astype(np.float32).astype(float)  # without structure: a query needs many leaves
+    df = spark.createDataFrame([*enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    found = search.search(df, F.col("vec_id") % 4 == 0, k=10, sample=500, leaf_rows=20, most_queries=300)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and "Generate" not in plan and plan.count("Exchange") == 1  # queries are dealt out once, pairs never
+    got = {}
+    for r in found.collect():
+        got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    assert sorted(got) == list(range(0, 4000, 4)) and all(sorted(g) == list(range(1, 11)) for g in got.values())
+    hits = 0
+    for q, g in got.items():
+        score = (x * x[q]).sum(1)
+        assert [s for _, s in (g[r] for r in range(1, 11))] == [score[i] for i, _ in (g[r] for r in range(1, 11))]
+        score[q] = -np.inf
+        hits += len({i for i, _ in g.values()} & set(np.argsort(-score)[:10].tolist()))
+    assert hits >= 0.9 * 10 * len(got)
+
+
+def test_search_counts_rows_and_not_their_copies(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, v) for i, v in enumerate(rng.normal(size=(300, 4)).tolist())] + [(1001, [30.0, 0.0, 0.0, 0.0])] * 3 + [(2000, [2.0, 0.1, 0.0, 0.0])] * 2
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.rank, r.vec_id, r.score) for r in search.search(df, F.col("vec_id") == 2000, k=4, recall=1.0, leaf_rows=10, copies=3).orderBy("rank").collect()]
+    assert [g[:2] for g in got[:3]] == [(1, 1001), (2, 1001), (3, 1001)] and {g[2] for g in got[:3]} == {60.0}
+    few = search.search(df.where("vec_id < 30"), F.col("vec_id") == 20, k=50, recall=0.1, leaf_rows=2).collect()
+    assert sorted(r.vec_id for r in few) == [i for i in range(30) if i != 20]  # short of rows, it goes through the other leaves too
+
+
 @needs_tables
 def test_search_recall(spark):
     rows = {r.vec_id: np.array(r.embedding, np.float64) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()}
