@@ -28,6 +28,16 @@ def sigmoid(c: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-c))
 
 
+def round_half_away(c: Column, digits: int) -> Column:
+    """A double rounded as C does, ties away from zero: they are told on c * 10^digits, and zero keeps its sign.
+
+    Spark's round tells ties on the shortest decimal form of c instead, so that 2003.5 * 0.001 becomes 2.004 and not 2.003.
+    """
+    scaled = c * F.lit(10.0**digits)
+    whole = F.round(scaled)  # a tie of a double is exact here
+    return F.when(F.abs(scaled) == float("inf"), c).when(whole == 0.0, scaled * 0.0).otherwise(whole / F.lit(10.0**digits))
+
+
 def sort_labels(values: Column, numeric: bool = False) -> Column:
     """array<struct<label, value>> by label: numerically for numeric labels, else by code point."""
     key = (lambda v: v["label"].cast("double")) if numeric else (lambda v: v["label"])

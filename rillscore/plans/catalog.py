@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillscore.functions.scalar import csv_line, sigmoid, sort_labels
+from rillscore.functions.scalar import csv_line, round_half_away, sigmoid, sort_labels
 from rillscore.operators import batching, journal, response
 from rillscore.operators.project import Contract, Output, project, project_legacy, value_columns
 from rillscore.operators.rowid import with_row_id
@@ -260,7 +260,7 @@ def threshold_decision(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _contributions(least: float):
     """Contributions of three features, the strongest first; those below `least` are left out."""
-    parts = [F.struct(F.round(F.col("c_acctbal") * 0.001, 3).alias("strength"), F.lit("c_acctbal").alias("feature")), F.struct(F.round(F.col("c_nationkey") * F.lit(0.1), 3).alias("strength"), F.lit("c_nationkey").alias("feature")), F.struct(F.round((F.col("c_custkey") % 7) * F.lit(0.5), 3).alias("strength"), F.lit("c_custkey").alias("feature"))]
+    parts = [F.struct(round_half_away(F.col("c_acctbal") * 0.001, 3).alias("strength"), F.lit("c_acctbal").alias("feature")), F.struct(round_half_away(F.col("c_nationkey") * F.lit(0.1), 3).alias("strength"), F.lit("c_nationkey").alias("feature")), F.struct(round_half_away((F.col("c_custkey") % 7) * F.lit(0.5), 3).alias("strength"), F.lit("c_custkey").alias("feature"))]
     some = F.filter(F.sort_array(F.array(*parts), asc=False), lambda e: e["strength"] >= least)
     return F.transform(some, lambda e: F.struct(e["feature"].alias("feature"), F.format_string("%.3f", e["strength"]).alias("strength")))
 
