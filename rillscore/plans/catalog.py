@@ -57,12 +57,12 @@ POSITIVE = "1.0::DOUBLE / (1.0::DOUBLE + exp(-(0.00001::DOUBLE * o_totalprice -
 
 
 def _binary() -> ExpressionScorer:
-    p = F.round(sigmoid(F.lit(0.00001) * F.col("o_totalprice") - F.lit(1.5)), 6)
-    return ExpressionScorer(Contract(("0.0", "1.0"), numeric_labels=True, has_threshold=True), {"1.0": p, "0.0": F.round(F.lit(1.0) - p, 6)}, F.when(p >= 0.5, "1.0").otherwise("0.0"), 0.5)
+    p = round_half_away(sigmoid(F.lit(0.00001) * F.col("o_totalprice") - F.lit(1.5)), 6)
+    return ExpressionScorer(Contract(("0.0", "1.0"), numeric_labels=True, has_threshold=True), {"1.0": p, "0.0": round_half_away(F.lit(1.0) - p, 6)}, F.when(p >= 0.5, "1.0").otherwise("0.0"), 0.5)
 
 
 def _regression() -> ExpressionScorer:
-    value = F.round(F.lit(0.01) * F.col("c_acctbal") + F.lit(2.5), 6)
+    value = round_half_away(F.lit(0.01) * F.col("c_acctbal") + F.lit(2.5), 6)
     return ExpressionScorer(Contract(("z",), target_type="Regression"), {"z": value}, value)
 
 
@@ -248,7 +248,7 @@ def score_multiclass_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = with_row_id(_read(spark, sf_dir, "embeddings"), "vec_id")
     a, b, c = (F.exp(F.lit(3.0) * F.get("embedding", F.lit(i)).cast("double")) for i in range(3))
     total = a + b + c
-    scorer = ExpressionScorer(Contract(("1", "2", "10")), {"1": F.round(a / total, 6), "2": F.round(b / total, 6), "10": F.round(c / total, 6)})
+    scorer = ExpressionScorer(Contract(("1", "2", "10")), {"1": round_half_away(a / total, 6), "2": round_half_away(b / total, 6), "10": round_half_away(c / total, 6)})
     return score_table(df, scorer, Output())
 
 
@@ -266,7 +266,7 @@ def _contributions(least: float):
 
 
 def _explained(spark: SparkSession, sf_dir: str, least: float, most: int) -> DataFrame:
-    value = F.round(F.lit(0.01) * F.col("c_acctbal") + F.lit(2.5), 6)
+    value = round_half_away(F.lit(0.01) * F.col("c_acctbal") + F.lit(2.5), 6)
     scorer = ExpressionScorer(Contract(("z",), has_explanations=True, target_type="Regression"), {"z": value}, value, explanations=_contributions(least))
     return score_table(_customer(spark, sf_dir), scorer, Output(max_explanations=most))
 
@@ -327,7 +327,7 @@ def unpack_v10(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = with_row_id(_read(spark, sf_dir, "events"), "event_id")
     got = response.unpack_v10(_responses(batching.with_batch_id(df, 100), _item_v10(F.col("value")), "data"))
     _, yes = value_columns(F.col("values"), Contract(("no", "yes")))
-    return got.where("status = 'ok'").select("row_id", "prediction", "threshold", F.round(F.get(sort_labels(F.col("values")), F.lit(0))["value"], 6).alias("no"), yes)
+    return got.where("status = 'ok'").select("row_id", "prediction", "threshold", round_half_away(F.get(sort_labels(F.col("values")), F.lit(0))["value"], 6).alias("no"), yes)
 
 
 @query(f"WITH {EVENTS} SELECT row_id, event_id, event_type FROM e")
@@ -338,26 +338,26 @@ def result_reorder(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _legacy(df: DataFrame, value, task: str) -> DataFrame:
-    item = F.struct((F.col("row_id") - F.col("batch_id")).alias("row_id"), value.cast("string").alias("prediction"), F.create_map(F.lit("1.0"), value, F.lit("0.0"), F.round(F.lit(1.0) - value, 6)).alias("class_probabilities"))
+    item = F.struct((F.col("row_id") - F.col("batch_id")).alias("row_id"), value.cast("string").alias("prediction"), F.create_map(F.lit("1.0"), value, F.lit("0.0"), round_half_away(F.lit(1.0) - value, 6)).alias("class_probabilities"))
     return response.unpack_legacy(_responses(batching.with_batch_id(df, 100), item, "predictions", task=task)).where("status = 'ok'").drop("batch_id", "status")
 
 
 @query(f'WITH {ORDERS} SELECT row_id, round(1.0 - p, 6) AS "0.0", p AS "1.0" FROM (SELECT *, round({POSITIVE}, 6) AS p FROM o)')
 def legacy_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = F.round(sigmoid(F.lit(0.00001) * F.col("o_totalprice") - F.lit(1.5)), 6)
+    p = round_half_away(sigmoid(F.lit(0.00001) * F.col("o_totalprice") - F.lit(1.5)), 6)
     return project_legacy(_legacy(_orders(spark, sf_dir), p, "Binary"), Contract(("0.0", "1.0")), Output())
 
 
 @query(f"WITH {CUSTOMER} SELECT row_id, round(0.01::DOUBLE * c_acctbal + 2.5::DOUBLE, 6) AS z FROM c")
 def legacy_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    value = F.round(F.lit(0.01) * F.col("c_acctbal") + F.lit(2.5), 6)
+    value = round_half_away(F.lit(0.01) * F.col("c_acctbal") + F.lit(2.5), 6)
     return project_legacy(_legacy(_customer(spark, sf_dir), value, "Regression"), Contract(("z",), target_type="Regression"), Output(pred_name="z"))
 
 
 @query(f"WITH {ORDERS} SELECT row_id, o_orderpriority, o_orderkey, round({POSITIVE}, 6) AS healthy FROM o")
 def legacy_keep_cols(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _orders(spark, sf_dir)
-    p = F.round(sigmoid(F.lit(0.00001) * F.col("o_totalprice") - F.lit(1.5)), 6)
+    p = round_half_away(sigmoid(F.lit(0.00001) * F.col("o_totalprice") - F.lit(1.5)), 6)
     return project_legacy(df.join(_legacy(df, p, "Binary"), "row_id"), Contract(("0.0", "1.0")), Output(keep_cols=("o_orderpriority", "o_orderkey"), pred_name="healthy"))
 
 

@@ -49,7 +49,7 @@ def test_query(spark, duck, tmp_path, name):
         assert duck.execute(f"SELECT {cols} FROM {a} EXCEPT ALL SELECT {cols} FROM {b}").fetchall() == []
 
 
-@pytest.mark.parametrize("name", ["explanations_mixed"])
+@pytest.mark.parametrize("name", ["explanations_mixed", "explanations_topk", "score_regression_customer"])
 def test_explanations_of_balances_that_are_ties(spark, tmp_path, name):
     """Products such as 2003.5 * 0.001 are told from ties as the SQL does, and -0.0 keeps its sign."""
     balances = [2003.5, 2007.5, -0.3, -0.5, 1234.5, 0.0] + [i / 2 for i in range(-1999, 19_999)]
@@ -58,6 +58,13 @@ def test_explanations_of_balances_that_are_ties(spark, tmp_path, name):
     agrees(spark, name, sf, ["customer"], tmp_path)
 
 
+def test_class_values_that_are_ties(spark, tmp_path):
+    sf = str(tmp_path / "sf")
+    values = [0.0157235, 0.0313485, 0.0418965, 0.0469735, 100.0, 100.0000001] + [i / 1e7 for i in range(5, 20_000, 10)]
+    spark.createDataFrame([(i, "view", v) for i, v in enumerate(values)], "event_id long, event_type string, value double").write.parquet(f"{sf}/events.parquet")
+    agrees(spark, "unpack_v10", sf, ["events"], tmp_path)
+
+
 def test_scoring_stays_in_the_jvm(spark):
     plan = catalog.queries()["score_binary_orders"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
