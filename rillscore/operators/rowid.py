@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillscore.operators.scratch import written
 
 ROWS_A_TASK = 1_000_000
+BYTES_A_TASK = 64_000_000
+
+
+def tasks_of(df: DataFrame, size: Column, most: int = BYTES_A_TASK) -> int:
+    """How many tasks df's rows, of `size` bytes each, are for when none is to have much more than `most`."""
+    return max(1, math.ceil((df.agg(F.sum(size.cast("long"))).first()[0] or 0) / most))
 
 
 def with_row_id(df: DataFrame, *keys: str, rows_a_task: int = ROWS_A_TASK, name: str = "row_id") -> DataFrame:
@@ -28,3 +34,16 @@ def with_row_id(df: DataFrame, *keys: str, rows_a_task: int = ROWS_A_TASK, name:
     counts = dealt.groupBy("_part").agg(F.count("*").alias("_n"))
     before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
     return dealt.join(F.broadcast(before), "_part").withColumn(name, (F.col("_before") + F.col("_place")).cast("long")).drop("_part", "_place", "_before")  # a row per partition
+
+
+def with_row_id_of_wide(df: DataFrame, *keys: str, parts: int, name: str = "row_id") -> DataFrame:
+    """As with_row_id, for rows too wide to be sorted a million a task and written: only the keys are numbered.
+
+    Each key's first id meets its rows in one of `parts` hash partitions. A key that several rows share, or null, has as
+    many ids as rows, so no row is lost or doubled.
+    """
+    firsts = with_row_id(df.select(*keys), *keys, name=name).groupBy(*keys).agg(F.min(name).alias("_first"))
+    both = df.withColumn("_first", F.lit(None).cast("long")).unionByName(firsts, allowMissingColumns=True).repartition(parts, *keys)
+    after = Window.partitionBy(*keys).orderBy(F.asc_nulls_last("_first")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    told = both.withColumn(name, F.first("_first").over(after) + F.row_number().over(after) - 2)
+    return told.where("_first IS NULL").drop("_first")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rillscore.functions.scalar import csv_line, round_half_away, sigmoid, sort_labels
 from rillscore.operators import batching, journal, response
 from rillscore.operators.project import Contract, Output, project, project_legacy, value_columns
-from rillscore.operators.rowid import with_row_id
+from rillscore.operators.rowid import tasks_of, with_row_id, with_row_id_of_wide
 from rillscore.operators.scorers import ExpressionScorer, class_values
 from rillscore.operators.scratch import scratch_path
 from rillscore.operators.sink import lines, part_files, write_csv
@@ -202,10 +202,13 @@ def render_csv_pipe(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT row_id - row_id % 100 AS batch_id, sha256('doc_id,text' || chr(10) || string_agg(doc_id || ',' || {_quoted('text', ',')} || chr(10), '' ORDER BY row_id)) AS payload_sha256
 FROM d GROUP BY 1""")
 def encode_payload_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = with_row_id(_read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    rows = batching.with_batch_id(docs, 100).select("batch_id", F.struct("row_id", F.concat(csv_line([F.col("doc_id"), F.col("text")]), F.lit("\n")).alias("line")).alias("r"))
+    """Texts are dealt by bytes, first by key and then by batch."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    parts = tasks_of(docs, F.octet_length("text"))
+    numbered = with_row_id_of_wide(docs, "doc_id", parts=parts)
+    rows = batching.with_batch_id(numbered, 100).select("batch_id", F.struct("row_id", F.concat(csv_line([F.col("doc_id"), F.col("text")]), F.lit("\n")).alias("line")).alias("r"))
     body = F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda r: r["line"]), "")
-    return rows.groupBy("batch_id").agg(F.sha2(F.concat(F.lit("doc_id,text\n"), body).cast("binary"), 256).alias("payload_sha256"))
+    return rows.repartition(parts, "batch_id").groupBy("batch_id").agg(F.sha2(F.concat(F.lit("doc_id,text\n"), body).cast("binary"), 256).alias("payload_sha256"))
 
 
 # Scores

@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from rillscore.plans import catalog
 
@@ -65,6 +66,19 @@ def test_class_values_that_are_ties(spark, tmp_path):
     agrees(spark, "unpack_v10", sf, ["events"], tmp_path)
 
 
+def test_payload_texts_go_to_tasks_by_their_bytes(spark, tmp_path):
+    """150 MB of text: no step sends them all to one task."""
+    spark.range(150).select(F.col("id").alias("doc_id"), F.repeat(F.lit("x"), 1_000_000).alias("text")).write.parquet(f"{tmp_path}/sf/documents.parquet")
+    todo, found = [catalog.queries()["encode_payload_csv"](spark, f"{tmp_path}/sf")._jdf.queryExecution().optimizedPlan()], []
+    while todo:
+        node = todo.pop()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName().startswith("Repartition") and any(x in node.output().toString() for x in ("text#", "r#")):
+            found.append(node.numPartitions())
+    assert found and min(found) >= 3
+    agrees(spark, "encode_payload_csv", f"{tmp_path}/sf", ["documents"], tmp_path)
+
+
 def test_scoring_stays_in_the_jvm(spark):
     plan = catalog.queries()["score_binary_orders"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from rillscore.cli import agreed, score_file
 from rillscore.operators import batching, journal, response
 from rillscore.operators.project import Contract, Output, check_keep_cols, parse_names, project, project_legacy
-from rillscore.operators.rowid import with_row_id
+from rillscore.operators.rowid import tasks_of, with_row_id, with_row_id_of_wide
 from rillscore.operators.scorers import ArrowScorer, ExpressionScorer, HttpScorer, acquire_token, endpoint, preflight
 from rillscore.operators.sink import write_csv
 from rillscore.plans.config import configure
@@ -152,6 +152,25 @@ def test_row_ids_do_not_depend_on_ranges(spark):
     assert rows(with_row_id(df.limit(0), "k")) == []
 
 
+def test_row_ids_of_wide_rows(spark):
+    data = [(None if i % 50 == 0 else i * 7 % 1000 // 2, f"text {i}") for i in range(1000)]
+    df = spark.createDataFrame(data, "k long, text string").repartition(5)
+    for parts in (1, 6):
+        got = with_row_id_of_wide(df, "k", parts=parts)
+        assert got.columns == ["k", "text", "row_id"] and got.schema["row_id"].dataType.typeName() == "long"
+        told = sorted((r.row_id, -1 if r.k is None else r.k, r.text) for r in got.collect())
+        assert [r[0] for r in told] == list(range(1000)) and [r[1] for r in told] == sorted(r[1] for r in told)
+        assert sorted(r[2] for r in told) == sorted(t for _, t in data)
+    two = with_row_id_of_wide(df.where("k > 3").withColumn("s", F.sha1("text")), "k", "s", parts=4)
+    assert {r.text: r.row_id for r in two.collect()} == {r.text: r.row_id for r in with_row_id(df.where("k > 3").withColumn("s", F.sha1("text")), "k", "s").collect()}
+    assert rows(with_row_id_of_wide(df.limit(0), "k", parts=1)) == []
+
+
+def test_tasks_of_bytes(spark):
+    df = spark.createDataFrame([("x" * 10,), ("y" * 25,), (None,)], "t string")
+    assert tasks_of(df, F.octet_length("t"), 10) == 4 and tasks_of(df, F.octet_length("t")) == 1 and tasks_of(df.limit(0), F.octet_length("t")) == 1
+
+
 def test_halving():
     assert batching.halve([10] * 4, 100, 1000) == [(100, 4, 40)]
     assert batching.halve([10] * 5, 0, 25) == [(0, 2, 20), (2, 1, 10), (3, 2, 20)]
